@@ -185,3 +185,102 @@ EDGES_WHERE_PREDICATE = "type = 'link' AND n > 1"
     f"SELECT prev, curr, type, n FROM clickstream WHERE {EDGES_WHERE_PREDICATE}"))
 def edges_where(spark, sf_dir):
     return Q.edges_where(load_edges(spark, sf_dir), EDGES_WHERE_PREDICATE)
+
+
+# Sources and parsers ---------------------------------------------------------
+# Each of these writes the derived clicks/edges with Spark into the shared
+# scratch folder in the wire format, then reads them back with the source or
+# parser under test, so their work grows with the tables.
+_CLICK_ROWS_SQL = with_fixture("SELECT prev, curr, type, n FROM clicks")
+_EDGES_SQL = with_fixture("SELECT prev, curr, type, n FROM clickstream")
+
+
+def _staged_edges(spark, sf_dir, header=False):
+    from navedge.session import scratch_path
+    from navedge.sources.files import write_tsv
+    return write_tsv(load_edges(spark, sf_dir), scratch_path(spark, "edges-tsv"), header=header)
+
+
+@register("tsv_scan", _EDGES_SQL)
+def tsv_scan(spark, sf_dir):
+    from navedge.sources.files import read_tsv
+    return read_tsv(spark, _staged_edges(spark, sf_dir))
+
+
+@register("drop_header", _EDGES_SQL)
+def drop_header(spark, sf_dir):
+    from navedge.sources.files import drop_header as dh, read_tsv
+    return dh(read_tsv(spark, _staged_edges(spark, sf_dir, header=True)))
+
+
+@register("text_scan", _EDGES_SQL)
+def text_scan(spark, sf_dir):
+    from navedge.sources.files import read_text_edges
+    return read_text_edges(spark, _staged_edges(spark, sf_dir))
+
+
+def _messages(spark, sf_dir, fmt="tab"):
+    from navedge.sources.messages import stage_messages
+    return spark.read.text(stage_messages(load_clicks(spark, sf_dir), fmt))
+
+
+@register("parse_permissive", _CLICK_ROWS_SQL)
+def parse_permissive(spark, sf_dir):
+    from navedge.functions.parse import parse_permissive as pp
+    return pp(_messages(spark, sf_dir), strip=False)
+
+
+@register("parse_strict", _CLICK_ROWS_SQL)
+def parse_strict(spark, sf_dir):
+    from navedge.functions.parse import parse_strict as ps
+    return ps(_messages(spark, sf_dir))
+
+
+@register("parse_json", _CLICK_ROWS_SQL)
+def parse_json(spark, sf_dir):
+    from navedge.functions.parse import parse_json as pj
+    return pj(_messages(spark, sf_dir, "json"))
+
+
+@register("strip_markup", _CLICK_ROWS_SQL)
+def strip_markup(spark, sf_dir):
+    """Messages whose fields carry ``[event_type]:`` markers, parsed and cleaned."""
+    from pyspark.sql import functions as F
+    from navedge.functions.parse import parse_permissive as pp
+    from navedge.sources.files import write_text
+    from navedge.session import scratch_path
+    ev = load_clicks(spark, sf_dir).join(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type"), "event_id")
+    mark = F.concat(F.lit("["), F.col("event_type"), F.lit("]:"))
+    marked = ev.select(F.concat_ws("\t", *[F.concat(mark, F.col(c).cast("string"))
+                                         for c in S.EDGE_COLUMNS]).alias("value"))
+    path = write_text(marked, scratch_path(spark, "messages-marked"))
+    return pp(spark.read.text(path), strip=True)
+
+
+@register("encode_message", with_fixture(
+    "SELECT concat_ws(':', coalesce(prev, 'null'), coalesce(curr, 'null'), coalesce(type, 'null'), "
+    "coalesce(CAST(n AS VARCHAR), 'null')) AS value FROM clicks"))
+def encode_message(spark, sf_dir):
+    from navedge.functions.parse import encode_message as em
+    return em(load_clicks(spark, sf_dir))
+
+
+@register("token_counts", with_fixture(
+    ", m AS (SELECT prev || chr(9) || curr || chr(9) || type || chr(9) || CAST(n AS VARCHAR) AS v "
+    "FROM clicks) SELECT value, COUNT(*) AS count FROM "
+    "(SELECT unnest(string_split(v, chr(9))) AS value FROM m) GROUP BY value"))
+def token_counts(spark, sf_dir):
+    from navedge.operators.aggregate import token_counts as tc
+    return tc(_messages(spark, sf_dir), "value", "\t")
+
+
+def _sql_surface_oracle():
+    from navedge.plans.sql_surface import stacked_oracle_sql
+    return with_fixture(stacked_oracle_sql())
+
+
+@register("sql_surface", _sql_surface_oracle())
+def sql_surface(spark, sf_dir):
+    from navedge.plans.sql_surface import stacked_questions
+    return stacked_questions(load_edges(spark, sf_dir))
