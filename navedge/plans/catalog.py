@@ -284,3 +284,151 @@ def _sql_surface_oracle():
 def sql_surface(spark, sf_dir):
     from navedge.plans.sql_surface import stacked_questions
     return stacked_questions(load_edges(spark, sf_dir))
+
+
+# Windows ---------------------------------------------------------------------
+WINDOW_ORACLE_SQL = """
+WITH b AS (SELECT event_type,
+    time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '2000-01-01 00:02:00') AS s FROM events),
+w AS (SELECT event_type, s AS window_start FROM b
+      UNION ALL SELECT event_type, s - INTERVAL 5 MINUTE FROM b)
+SELECT event_type, window_start, window_start + INTERVAL 10 MINUTE AS window_end, COUNT(*) AS count
+FROM w GROUP BY event_type, window_start"""
+
+
+@register("window_counts", WINDOW_ORACLE_SQL)
+def window_counts(spark, sf_dir):
+    from navedge.operators.window import sliding_counts
+    from navedge.sources.events import read_events
+    return sliding_counts(read_events(spark, sf_dir), "ts", ["event_type"])
+
+
+# Keyed replace ---------------------------------------------------------------
+@register("replace_into", _EDGES_SQL)
+def replace_into(spark, sf_dir):
+    """An incremental load: the edge table of the first half of the period,
+    then a batch of recomputed totals for every edge touched in the second
+    half, replaced into it by key. The result must equal a full rebuild."""
+    from pyspark.sql import functions as F
+    from navedge.operators.keyed import replace_into as ri
+    from navedge.sources.events import clickstream
+    rows = load_clicks(spark, sf_dir)
+    lo, hi = rows.agg(F.min("ts"), F.max("ts")).first()
+    cutoff = F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
+    target = clickstream(rows.where(F.col("ts") < cutoff))
+    touched = rows.where(F.col("ts") >= cutoff).select(*S.KEY_COLUMNS).distinct()
+    batch = clickstream(rows).join(touched, on=S.KEY_COLUMNS, how="left_semi")
+    return ri(target, batch, S.KEY_COLUMNS)
+
+
+# Streaming -------------------------------------------------------------------
+# Messages derived from the tables are staged as text files and read back as
+# a file stream, one file per trigger, so every query runs several
+# micro-batches.
+def _message_stream(spark, sf_dir, fmt="tab"):
+    from navedge.sources.messages import stage_messages, text_stream
+    path = stage_messages(load_clicks(spark, sf_dir), fmt, files=4)
+    return text_stream(spark, path, max_files_per_trigger=1)
+
+
+def _parsed_stream(spark, sf_dir, fmt="tab"):
+    from navedge.streaming.engine import parse_messages
+    return parse_messages(_message_stream(spark, sf_dir, fmt), fmt)
+
+
+def _stream_answer(spark, sf_dir, name, fn, fmt="json"):
+    from navedge.streaming.engine import await_done, edge_totals, latest_answer, run_answers
+    q, out = run_answers(edge_totals(_parsed_stream(spark, sf_dir, fmt)), {name: fn}, name=None)
+    await_done(q)
+    return latest_answer(spark, out, name)
+
+
+@register("stream_edges", _CLICK_ROWS_SQL)
+def stream_edges(spark, sf_dir):
+    from navedge.streaming.engine import await_done, run_append
+    q, path = run_append(_parsed_stream(spark, sf_dir, "tab"))
+    await_done(q)
+    return spark.read.parquet(path)
+
+
+@register("stream_top_articles", ORACLE["q1_top_articles"])
+def stream_top_articles(spark, sf_dir):
+    """Question 1 run directly as a complete-mode sorted streaming aggregate."""
+    from navedge.streaming.engine import await_done, latest_answer, run_answers
+    top = Q.top_articles(_parsed_stream(spark, sf_dir, "tab"))
+    q, out = run_answers(top, {"q1": lambda b: b})
+    await_done(q)
+    return latest_answer(spark, out, "q1")
+
+
+@register("stream_top_referers", ORACLE["q2_top_referers"])
+def stream_top_referers(spark, sf_dir):
+    return _stream_answer(spark, sf_dir, "q2", Q.top_referers)
+
+
+@register("stream_top_from_referer", ORACLE["q3_top_from_referer"])
+def stream_top_from_referer(spark, sf_dir):
+    return _stream_answer(spark, sf_dir, "q3", Q.top_from_referer)
+
+
+@register("stream_missing_pages", ORACLE["q4_missing_pages"])
+def stream_missing_pages(spark, sf_dir):
+    return _stream_answer(spark, sf_dir, "q4", Q.missing_pages)
+
+
+@register("stream_inflow_outflow", ORACLE["q5_inflow_outflow"])
+def stream_inflow_outflow(spark, sf_dir):
+    return _stream_answer(spark, sf_dir, "q5", Q.inflow_outflow, "tab")
+
+
+def _article_edges(edges):
+    from pyspark.sql import functions as F
+    a = Q.into_article(edges).select(F.lit("q7").alias("question"), *S.EDGE_COLUMNS)
+    b = Q.out_of_article(edges).select(F.lit("q8").alias("question"), *S.EDGE_COLUMNS)
+    return a.unionByName(b)
+
+
+@register("stream_article_edges", with_fixture(
+    f", t2 AS ({_INTO}), t1 AS ({_OUT}) SELECT 'q7' AS question, prev, curr, type, n FROM t2 "
+    "UNION ALL SELECT 'q8' AS question, prev, curr, type, n FROM t1"))
+def stream_article_edges(spark, sf_dir):
+    return _stream_answer(spark, sf_dir, "q7q8", _article_edges)
+
+
+@register("stream_update_replace", _EDGES_SQL)
+def stream_update_replace(spark, sf_dir):
+    from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
+    q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "json")))
+    await_done(q)
+    return current_edges(spark, log)
+
+
+@register("stream_window_counts", WINDOW_ORACLE_SQL)
+def stream_window_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from navedge.session import scratch_path
+    from navedge.sinks.versioned import read_latest_per_key
+    from navedge.sources.events import read_events
+    from navedge.streaming.engine import await_done
+    from navedge.streaming.windows import run_window_counts
+    staged = scratch_path(spark, "events-stream")
+    ev = read_events(spark, sf_dir).select("ts", "event_type")
+    ev.repartitionByRange(4, "ts").write.parquet(staged)
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1")
+              .parquet(staged))
+    q, log = run_window_counts(stream, "ts", ["event_type"])
+    await_done(q)
+    keys = ["event_type", "window_start", "window_end"]
+    out = read_latest_per_key(spark, log, keys)
+    return out.select("event_type",
+                      F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "count")
+
+
+@register("stream_fanout", _CLICK_ROWS_SQL)
+def stream_fanout(spark, sf_dir):
+    from navedge.streaming.engine import await_done, run_fanout
+    q, csv_path, _ = run_fanout(_parsed_stream(spark, sf_dir, "tab"))
+    await_done(q)
+    return (spark.read.schema(S.EDGE_SCHEMA).option("header", "true").csv(csv_path)
+            .select(*S.EDGE_COLUMNS))

@@ -24,6 +24,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Aggregation state of the streaming queries grows with the number of
     # distinct edges; RocksDB keeps it off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
