@@ -29,6 +29,8 @@ BASE_CONF = {
     # distinct edges; RocksDB keeps it off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit a changelog per batch instead of uploading a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

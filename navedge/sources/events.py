@@ -36,11 +36,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
-def _page_title(props: Column) -> Column:
-    k = F.get_json_object(props, "$.k").try_cast("int") % 20
-    return (F.when(k == 0, F.lit(TITLE_FOR_K0))
-            .when(k == 1, F.lit(TITLE_FOR_K1))
-            .otherwise(F.concat(F.lit(TITLE_PREFIX), k.cast("string"))))
+def _page_title(k20: Column) -> Column:
+    """Title of a page from ``k % 20`` (null when ``k`` is missing)."""
+    return (F.when(k20 == 0, F.lit(TITLE_FOR_K0))
+            .when(k20 == 1, F.lit(TITLE_FOR_K1))
+            .otherwise(F.concat(F.lit(TITLE_PREFIX), k20.cast("string"))))
+
+
+def _k20(props: Column) -> Column:
+    return F.get_json_object(props, "$.k").try_cast("int") % 20
 
 
 def _case(col: Column, mapping: dict[str, str], default: Column) -> Column:
@@ -51,15 +55,23 @@ def _case(col: Column, mapping: dict[str, str], default: Column) -> Column:
 
 
 def clicks(events: DataFrame, num_slices: int | None = None) -> DataFrame:
-    """One click message per event: ``event_id, ts, prev, curr, type, n``."""
-    a = events.select("event_id", "ts", "user_id", "event_type",
-                      _page_title(F.col("props")).alias("curr"))
-    lagged = skew_safe_lag(a, "user_id", ["ts", "event_id"], "curr", "_p", num_slices)
+    """One click message per event: ``event_id, ts, prev, curr, type, n``.
+
+    The referrer is the title of the user's previous event. The title is a
+    function of ``props``, so the raw ``props`` is carried through the lag and
+    both titles are parsed after it: the range exchange's sampling pass then
+    re-reads plain columns only, never the JSON parse.
+    """
+    a = events.select("event_id", "ts", "user_id", "event_type", "props")
+    lagged = skew_safe_lag(a, "user_id", ["ts", "event_id"], "props", "_pp", num_slices)
+    ks = lagged.select("event_id", "ts", "event_type",
+                       _k20(F.col("props")).alias("_k"), _k20(F.col("_pp")).alias("_pk"))
     et = F.col("event_type")
-    return lagged.select(
+    prev_page = F.coalesce(_page_title(F.col("_pk")), F.lit(NO_REFERER))
+    return ks.select(
         "event_id", "ts",
-        _case(et, REFERER_BY_EVENT, F.coalesce(F.col("_p"), F.lit(NO_REFERER))).alias("prev"),
-        "curr",
+        _case(et, REFERER_BY_EVENT, prev_page).alias("prev"),
+        _page_title(F.col("_k")).alias("curr"),
         _case(et, TYPE_BY_EVENT, F.lit(DEFAULT_TYPE)).alias("type"),
         F.lit(1).cast("bigint").alias("n"))
 
