@@ -325,10 +325,13 @@ def replace_into(spark, sf_dir):
 # Messages derived from the tables are staged as text files and read back as
 # a file stream, one file per trigger, so every query runs several
 # micro-batches.
+STREAM_BATCHES = 4
+
+
 def _message_stream(spark, sf_dir, fmt="tab"):
-    from navedge.sources.messages import stage_messages, text_stream
-    path = stage_messages(load_clicks(spark, sf_dir), fmt, files=4)
-    return text_stream(spark, path, max_files_per_trigger=1)
+    from navedge.sources.messages import files_per_trigger, stage_messages, text_stream
+    path = stage_messages(load_clicks(spark, sf_dir), fmt)
+    return text_stream(spark, path, files_per_trigger(spark, path, STREAM_BATCHES))
 
 
 def _parsed_stream(spark, sf_dir, fmt="tab"):
@@ -411,10 +414,14 @@ def stream_window_counts(spark, sf_dir):
     from navedge.sources.events import read_events
     from navedge.streaming.engine import await_done
     from navedge.streaming.windows import run_window_counts
+    from navedge.session import default_parallelism
+    from navedge.sources.messages import files_per_trigger
     staged = scratch_path(spark, "events-stream")
     ev = read_events(spark, sf_dir).select("ts", "event_type")
-    ev.repartitionByRange(4, "ts").write.parquet(staged)
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1")
+    # time-ordered files, as an event-time stream arrives
+    ev.repartitionByRange(default_parallelism(spark), "ts").write.parquet(staged)
+    per = files_per_trigger(spark, staged, STREAM_BATCHES)
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(per))
               .parquet(staged))
     q, log = run_window_counts(stream, "ts", ["event_type"])
     await_done(q)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from navedge.functions.parse import json_message, tab_message
-from navedge.session import scratch_path
+from navedge.session import default_parallelism, scratch_path
 from navedge.sources.files import write_text
 
 SUBSCRIPTION_KINDS = ("assign", "subscribe", "subscribePattern")
@@ -56,16 +56,24 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
-def stage_messages(clicks: DataFrame, fmt: str = "tab", files: int = 4,
-                   path: str | None = None) -> str:
-    """Write click rows as message lines into ``files`` text files.
+def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None) -> str:
+    """Write click rows as message lines, one file per shuffle partition.
 
-    Range-partitioned on ``event_id`` so each file is one span of the stream
-    and a file stream with one file per trigger sees several micro-batches.
+    Hash-partitioned on ``event_id`` into the session's parallelism, so the
+    write has as many tasks as any other stage (not a fixed handful) and the
+    file count does not depend on how adaptive execution coalesced the input.
     """
     spark = clicks.sparkSession
     path = path or scratch_path(spark, f"messages-{fmt}")
-    ordered = (clicks.repartitionByRange(files, "event_id")
-               if "event_id" in clicks.columns else clicks.repartition(files))
-    write_text(tab_message(ordered) if fmt == "tab" else json_message(ordered), path)
+    n = default_parallelism(spark)
+    rows = (clicks.repartition(n, "event_id").sortWithinPartitions("event_id")
+            if "event_id" in clicks.columns else clicks.repartition(n))
+    write_text(tab_message(rows) if fmt == "tab" else json_message(rows), path)
     return path
+
+
+def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
+    """``maxFilesPerTrigger`` that splits the files under ``path`` into about
+    ``batches`` micro-batches (file listing only, no data read)."""
+    n = len(spark.read.format("text").load(path).inputFiles())
+    return max(1, -(-n // max(1, batches)))

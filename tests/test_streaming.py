@@ -104,3 +104,15 @@ def test_kafka_options():
     import pytest
     with pytest.raises(ValueError):
         kafka_options("h:9092", "topic", "clickers")
+
+
+def test_staged_stream_runs_several_batches(spark):
+    from navedge.sources.messages import files_per_trigger, stage_messages
+    from navedge.streaming.engine import run_answers
+    path = stage_messages(load_clicks(spark, SF_SMALL), "tab")
+    per = files_per_trigger(spark, path, 4)
+    stream = parse_messages(text_stream(spark, path, per), "tab")
+    q, out = run_answers(edge_totals(stream), {"q1": Q.top_articles})
+    await_done(q)
+    batches = [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) >= 2
