@@ -78,3 +78,21 @@ def local_dir(path: str) -> str:
 def ensure_local_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(local_dir(path)) or ".", exist_ok=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               scan_split_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings sized from the input, for ``spark-submit --conf`` on a cluster.
+
+    Shuffle partitions start at about ``input / target`` (at least 2 per
+    core); adaptive execution then coalesces small ones toward the advisory
+    size, and splits skewed join partitions. Larger scan splits cut the task
+    count of a 100 TB scan to about 200k.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+    }
