@@ -48,13 +48,12 @@ def get_session(master: str | None = None, app: str = "navedge",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext._jsc.sc().conf().get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="navedge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

@@ -13,11 +13,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from navedge.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="navedge-test-ckpt-")
-    s = get_session("local[*]", app="navedge-tests", conf={
-        "spark.sql.shuffle.partitions": "8",
-        "spark.checkpoint.dir": ckpt,
-    })
+    from navedge.session import checkpoint_root
+    s = get_session("local[*]", app="navedge-tests", conf={"spark.sql.shuffle.partitions": "8"})
+    checkpoint_root(s)  # the configured shared folder, or a temporary one if none is set
     yield s
     s.stop()
 

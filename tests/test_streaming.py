@@ -84,7 +84,15 @@ def test_window_stream_with_watermark(spark, tmpdir_path):
     from navedge.operators.window import sliding_counts
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("ts", "event_type")
     src = os.path.join(tmpdir_path, "ev")
-    ev.repartitionByRange(3, "ts").write.parquet(src)
+    # files must arrive in event-time order, or the watermark rightly drops
+    # the events of a file read after a later one
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / 3
+    for i in range(3):
+        a, b = lo + step * i, lo + step * (i + 1)
+        part = ev.where((F.col("ts") >= F.lit(a).cast("timestamp_ntz")) &
+                        ((F.col("ts") < F.lit(b).cast("timestamp_ntz")) if i < 2 else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(src)
     q, log = run_window_counts(stream, "ts", ["event_type"], watermark="1 hour",
                                path=os.path.join(tmpdir_path, "log"),
