@@ -107,3 +107,19 @@ def json_message(df: DataFrame) -> DataFrame:
     """Edge rows as JSON text with the link kind under ``link``."""
     s = F.struct(F.col(S.PREV), F.col(S.CURR), F.col(S.TYPE).alias("link"), F.col(S.N))
     return df.select(F.to_json(s).alias("value"))
+
+
+def parse_avro(df: DataFrame, reader_schema_json: str, column: str = "value") -> DataFrame:
+    """Avro-encoded messages to edge rows, with the reader schema given as JSON.
+
+    Needs the spark-avro package on the classpath (``--packages
+    org.apache.spark:spark-avro_2.13:<version>``); a schema-registry client is
+    not part of this library, so the caller fetches the schema.
+    """
+    try:
+        from pyspark.sql.avro.functions import from_avro
+        data = from_avro(F.col(column), reader_schema_json).alias("data")
+        flat = df.select(data).select("data.*")
+    except Exception as e:  # the JVM side is missing
+        raise RuntimeError("Avro parsing needs the spark-avro package on the classpath") from e
+    return canonical_edges(flat)

@@ -77,3 +77,26 @@ def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
     ``batches`` micro-batches (file listing only, no data read)."""
     n = len(spark.read.format("text").load(path).inputFiles())
     return max(1, -(-n // max(1, batches)))
+
+
+def kafka_message_sink(edges: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str,
+                       trigger: str | None = None, mode: str = "update"):
+    """Stream edge rows to a topic as ``prev:curr:type:n`` text (needs the connector).
+
+    Spark's Kafka sink writes each partition with its own producer; a
+    replayed batch may be delivered twice (at-least-once), as with any
+    Kafka producer sink.
+    """
+    from navedge.functions.parse import encode_message
+    w = (encode_message(edges).writeStream.format("kafka").outputMode(mode)
+         .options(**kafka_sink_options(bootstrap_servers, topic, checkpoint)))
+    if trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def write_kafka_messages(edges: DataFrame, bootstrap_servers: str, topic: str) -> None:
+    """Batch write of edge rows to a topic as ``prev:curr:type:n`` text."""
+    from navedge.functions.parse import encode_message
+    (encode_message(edges).write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())

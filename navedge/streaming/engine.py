@@ -159,6 +159,17 @@ def run_fanout(rows: DataFrame, csv_path: str | None = None, parquet_path: str |
     return q, csv_path, parquet_path
 
 
+def run_console(df: DataFrame, mode: str = "append", truncate: bool = False,
+                trigger: str | None = None) -> StreamingQuery:
+    """Print each micro-batch (``format("console")``), for inspection only."""
+    w = df.writeStream.format("console").outputMode(mode).option("truncate", str(truncate).lower())
+    if trigger and trigger != "availableNow":
+        w = w.trigger(processingTime=trigger)
+    elif trigger == "availableNow":
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
 # Reading results back --------------------------------------------------------
 def latest_answer(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{out_root}/{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from navedge import schema as S
-from navedge.functions.parse import (encode_message, parse_json, parse_permissive,
+from navedge.functions.parse import (encode_message, parse_avro, parse_json, parse_permissive,
                                      parse_strict, strip_markup)
 from navedge.operators.flow import flow_join, flow_one_pass
 from navedge.operators.keyed import replace_into
@@ -165,3 +165,16 @@ def test_sliding_window_bounds(spark):
 def test_sink_message_prints_null(spark):
     df = _edges(spark, [("a", None, "l", 4)])
     assert encode_message(df).first()[0] == "a:null:l:4"
+
+
+def test_avro_is_gated(spark):
+    schema = ('{"type":"record","name":"Click","fields":[{"name":"prev","type":"string"},'
+              '{"name":"curr","type":"string"},{"name":"link","type":"string"},'
+              '{"name":"n","type":"long"}]}')
+    df = spark.createDataFrame([(bytearray(b"x"),)], "value binary")
+    try:
+        out = parse_avro(df, schema)
+    except RuntimeError as e:
+        assert "spark-avro" in str(e)
+    else:
+        assert out.columns == S.EDGE_COLUMNS
