@@ -4,7 +4,9 @@ The same ``sliding_counts`` expression as in batch, over a streaming frame,
 in update mode: each micro-batch emits only the windows it changed, into a
 change log keyed by ``(keys, window_start, window_end)``. An optional
 watermark (event time must be ``TIMESTAMP``; ``TIMESTAMP_NTZ`` is cast in the
-session time zone) lets Spark drop the state of closed windows.
+session time zone) lets Spark drop the state of closed windows; events behind
+the watermark are then dropped, so files or partitions must arrive roughly in
+event-time order.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ def window_count_stream(events: DataFrame, ts: str, keys: list[str],
                         width: str = DEFAULT_WINDOW[0], slide: str = DEFAULT_WINDOW[1],
                         offset: str = DEFAULT_WINDOW[2], watermark: str | None = None
                         ) -> DataFrame:
-    ev = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    ev = events
     if watermark:
-        ev = ev.withWatermark(ts, watermark)
+        # watermarks need TIMESTAMP; without one, TIMESTAMP_NTZ is kept so the
+        # windows do not depend on the session time zone
+        ev = ev.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return sliding_counts(ev, ts, keys, width, slide, offset)
 
 
