@@ -311,9 +311,10 @@ def replace_into(spark, sf_dir):
     half, replaced into it by key. The result must equal a full rebuild."""
     from pyspark.sql import functions as F
     from navedge.operators.keyed import replace_into as ri
-    from navedge.sources.events import clickstream
+    from navedge.sources.events import clickstream, read_events
     rows = load_clicks(spark, sf_dir)
-    lo, hi = rows.agg(F.min("ts"), F.max("ts")).first()
+    # the period's bounds: two scalars from the ``ts`` column alone
+    lo, hi = read_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
     cutoff = F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
     target = clickstream(rows.where(F.col("ts") < cutoff))
     touched = rows.where(F.col("ts") >= cutoff).select(*S.KEY_COLUMNS).distinct()
