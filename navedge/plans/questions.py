@@ -148,3 +148,20 @@ def same_referer(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
 def edges_where(edges: DataFrame, predicate: str) -> DataFrame:
     """Edges passing a SQL predicate given as text (``.where(text)``)."""
     return edges.where(predicate)
+
+
+def all_questions(referer: str = S.DEFAULT_REFERER, link_type: str = S.DEFAULT_MISSING_TYPE,
+                  article: str = S.DEFAULT_ARTICLE, pattern: str = S.DEFAULT_ARTICLE_PATTERN
+                  ) -> dict[str, callable]:
+    """Every question as ``name -> (edges -> DataFrame)``, with its parameters bound."""
+    return {
+        "top_articles": lambda e: top_articles(e),
+        "top_referers": lambda e: top_referers(e),
+        "top_from_referer": lambda e: top_from_referer(e, referer),
+        "missing_pages": lambda e: missing_pages(e, link_type),
+        "inflow_outflow": lambda e: inflow_outflow(e),
+        "article_flow": lambda e: article_flow(e, article),
+        "into_article": lambda e: into_article(e, pattern),
+        "out_of_article": lambda e: out_of_article(e, pattern),
+        "both_lists": lambda e: both_lists(e, pattern),
+    }
