@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import rows
