@@ -18,7 +18,7 @@ lineage, so re-execution after a lost executor sees the same slices):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navedge.session import default_parallelism
@@ -29,16 +29,21 @@ _GROUP = "_nv_group"
 _CARRY = "_nv_carry"
 
 
-def skew_safe_lag(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                  num_slices: int | None = None) -> DataFrame:
+def skew_safe_lag(df: DataFrame, key: str, order: list[str], value: str | Column, out: str,
+                  num_slices: int | None = None, value_name: str = "_nv_value") -> DataFrame:
     """Add ``out`` = lag(``value``) over (partition by ``key`` order by ``order``).
 
     ``order`` must make the order total within a key (add a unique id), as
-    any deterministic lag requires.
+    any deterministic lag requires. ``value`` may be an expression: it is then
+    computed once per row right after the range exchange (so Spark's sampling
+    pass for the range bounds does not evaluate it) and kept as ``value_name``.
     """
     n = num_slices or default_parallelism(df.sparkSession)
     sliced = (df.repartitionByRange(n, key, *order)
               .withColumn(_SLICE, F.spark_partition_id()))
+    if isinstance(value, Column):
+        sliced = sliced.withColumn(value_name, value)
+        value = value_name
 
     w1 = Window.partitionBy(key, _SLICE).orderBy(*order)
     marker = F.lit(True)
