@@ -51,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: scratch data and stream "
+                               "checkpoints must survive the loss of any one machine")
         root = tempfile.mkdtemp(prefix="navedge-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
