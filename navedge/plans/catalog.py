@@ -160,9 +160,17 @@ _IN_COLS = "t2.prev AS in_prev, t2.curr AS in_curr, t2.type AS in_type, t2.n AS
 _OUT_COLS = "t1.prev AS out_prev, t1.curr AS out_curr, t1.type AS out_type, t1.n AS out_n"
 
 
-@register("q9_cross", with_fixture(_LISTS + f"SELECT {_IN_COLS}, {_OUT_COLS} FROM t2 CROSS JOIN t1"))
-def q9_cross(spark, sf_dir):
-    return Q.both_lists_paired(load_edges(spark, sf_dir))
+_RANK = "ROW_NUMBER() OVER (ORDER BY n DESC NULLS LAST, " + _ord("prev", "curr", "type") + ") AS rank"
+
+
+@register("q9_side_by_side", with_fixture(
+    _LISTS + f", r2 AS (SELECT {_RANK}, * FROM t2), r1 AS (SELECT {_RANK}, * FROM t1) "
+    "SELECT COALESCE(r2.rank, r1.rank) AS rank, "
+    "r2.prev AS in_prev, r2.curr AS in_curr, r2.type AS in_type, r2.n AS in_n, "
+    "r1.prev AS out_prev, r1.curr AS out_curr, r1.type AS out_type, r1.n AS out_n "
+    "FROM r2 FULL OUTER JOIN r1 ON r2.rank = r1.rank"))
+def q9_side_by_side(spark, sf_dir):
+    return Q.both_lists_side_by_side(load_edges(spark, sf_dir))
 
 
 @register("q9_paths", with_fixture(

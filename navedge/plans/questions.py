@@ -16,8 +16,8 @@ from navedge import schema as S
 from navedge.operators.aggregate import sorted_desc, sum_by, top_k
 from navedge.operators.flow import flow_join, flow_one_pass
 
-# Largest k for the pairwise forms of question 9: they pair two k-row lists,
-# so their output is at most k * k rows whatever the size of the edge table.
+# Largest k for the joined forms of question 9. They join two k-row lists on
+# equality, so their output stays bounded whatever the size of the edge table.
 MAX_PAIR_K = 1000
 
 
@@ -116,15 +116,30 @@ def _pair_inputs(edges: DataFrame, pattern: str, k: int) -> tuple[DataFrame, Dat
     return into_article(edges, pattern, k), out_of_article(edges, pattern, k)
 
 
-def both_lists_paired(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
-                      k: int = S.DEFAULT_ARTICLE_EDGES_K) -> DataFrame:
-    """Every in-edge of the top-k list next to every out-edge of the other.
+def _ranked(top: DataFrame, prefix: str) -> DataFrame:
+    """Rank 1..k of a top-k list, in the list's own order.
 
-    Both inputs are limited to k rows, so the product has at most k*k rows and
-    the broadcast side at most k rows: its size is bounded by construction.
+    The window has no partition key on purpose: its input is a top-k result,
+    which Spark already holds as one partition of at most k rows.
+    """
+    from pyspark.sql import Window
+    order = Window.orderBy(F.col("n").desc_nulls_last(),
+                           *[F.col(c).asc_nulls_last() for c in S.KEY_COLUMNS])
+    return top.select(F.row_number().over(order).cast("bigint").alias("rank"),
+                      *[F.col(c).alias(f"{prefix}{c}") for c in S.EDGE_COLUMNS])
+
+
+def both_lists_side_by_side(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
+                            k: int = S.DEFAULT_ARTICLE_EDGES_K) -> DataFrame:
+    """The in-list and the out-list as one table, row i holding the i-th edge of
+    each (a full outer join on rank keeps the longer list whole).
+
+    This is question 9's "both lists together" without a cross product: one
+    row per rank, at most k rows.
     """
     into, out = _pair_inputs(edges, pattern, k)
-    return _prefixed(into, "in_").crossJoin(F.broadcast(_prefixed(out, "out_")))
+    i, o = _ranked(into, "in_"), _ranked(out, "out_")
+    return i.join(o, on="rank", how="full_outer")
 
 
 def two_step_paths(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,

@@ -36,4 +36,12 @@ def test_pairwise_forms_are_bounded(spark):
     import pytest
     df = spark.createDataFrame([("a", "x", "l", 1)], "prev string, curr string, type string, n bigint")
     with pytest.raises(ValueError):
-        Q.both_lists_paired(df, "x", k=Q.MAX_PAIR_K + 1)
+        Q.two_step_paths(df, "x", k=Q.MAX_PAIR_K + 1)
+
+
+def test_side_by_side_keeps_longer_list(spark):
+    df = spark.createDataFrame([("a", "X", "l", 3), ("b", "X", "l", 2), ("X", "c", "l", 1)],
+                               "prev string, curr string, type string, n bigint")
+    got = rows(Q.both_lists_side_by_side(df, "X", k=10).select(
+        "rank", "in_prev", "out_curr"))
+    assert got == [(1, "a", "c"), (2, "b", None)]
