@@ -235,7 +235,7 @@ def _messages(spark, sf_dir, fmt="tab"):
 @register("parse_permissive", _CLICK_ROWS_SQL)
 def parse_permissive(spark, sf_dir):
     from navedge.functions.parse import parse_permissive as pp
-    return pp(_messages(spark, sf_dir), strip=False)
+    return pp(_messages(spark, sf_dir))
 
 
 @register("parse_strict", _CLICK_ROWS_SQL)
@@ -252,16 +252,15 @@ def parse_json(spark, sf_dir):
 
 @register("strip_markup", _CLICK_ROWS_SQL)
 def strip_markup(spark, sf_dir):
-    """Messages whose fields carry ``[event_type]:`` markers, parsed and cleaned."""
+    """Messages whose every field carries a ``[<link kind>]:`` marker, parsed and cleaned."""
     from pyspark.sql import functions as F
     from navedge.functions.parse import parse_permissive as pp
     from navedge.sources.files import write_text
     from navedge.session import scratch_path
-    ev = load_clicks(spark, sf_dir).join(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type"), "event_id")
-    mark = F.concat(F.lit("["), F.col("event_type"), F.lit("]:"))
-    marked = ev.select(F.concat_ws("\t", *[F.concat(mark, F.col(c).cast("string"))
-                                         for c in S.EDGE_COLUMNS]).alias("value"))
+    mark = F.concat(F.lit("["), F.col("type"), F.lit("]:"))
+    marked = load_clicks(spark, sf_dir).select(
+        F.concat_ws("\t", *[F.concat(mark, F.col(c).cast("string")) for c in S.EDGE_COLUMNS])
+        .alias("value"))
     path = write_text(marked, scratch_path(spark, "messages-marked"))
     return pp(spark.read.text(path), strip=True)
 
