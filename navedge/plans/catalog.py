@@ -331,8 +331,8 @@ def replace_into(spark, sf_dir):
 
 # Streaming -------------------------------------------------------------------
 # Messages derived from the tables are staged as text files and read back as
-# a file stream, one file per trigger, so every query runs several
-# micro-batches.
+# a file stream, about a quarter of the files per trigger, so every query runs
+# several micro-batches whatever the file count.
 STREAM_BATCHES = 4
 
 
@@ -417,13 +417,12 @@ def stream_update_replace(spark, sf_dir):
 @register("stream_window_counts", WINDOW_ORACLE_SQL)
 def stream_window_counts(spark, sf_dir):
     from pyspark.sql import functions as F
-    from navedge.session import scratch_path
+    from navedge.session import default_parallelism, scratch_path
     from navedge.sinks.versioned import read_latest_per_key
     from navedge.sources.events import read_events
+    from navedge.sources.messages import files_per_trigger
     from navedge.streaming.engine import await_done
     from navedge.streaming.windows import run_window_counts
-    from navedge.session import default_parallelism
-    from navedge.sources.messages import files_per_trigger
     staged = scratch_path(spark, "events-stream")
     ev = read_events(spark, sf_dir).select("ts", "event_type")
     # each file one span of event time (no watermark here, so read order does not matter)
