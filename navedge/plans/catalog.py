@@ -389,7 +389,13 @@ def stream_missing_pages(spark, sf_dir):
 
 @register("stream_inflow_outflow", ORACLE["q5_inflow_outflow"])
 def stream_inflow_outflow(spark, sf_dir):
-    return _stream_answer(spark, sf_dir, "q5", Q.inflow_outflow, "tab")
+    """A whole-table answer through the large-state route: the stream writes only
+    the edges each batch changed, and the answer is computed on read from the
+    latest row of every edge."""
+    from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
+    q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "tab")))
+    await_done(q)
+    return Q.inflow_outflow(current_edges(spark, log))
 
 
 def _article_edges(edges):
