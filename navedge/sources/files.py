@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navedge import schema as S
 from navedge.functions.parse import _sep_regex
@@ -23,8 +24,9 @@ def read_tsv(spark: SparkSession, path: str, sep: str = "\t", schema=S.EDGE_SCHE
               .option("sep", sep).option("header", "false")
               .option("quote", "").option("mode", "PERMISSIVE"))
     if corrupt_column:
-        schema = schema.add(corrupt_column, "string")
-        reader = reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column)
+        # a new schema: ``StructType.add`` would modify the shared one in place
+        with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        reader = reader.schema(with_corrupt).option("columnNameOfCorruptRecord", corrupt_column)
     return reader.csv(path)
 
 

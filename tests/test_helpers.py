@@ -46,3 +46,10 @@ def test_scratch_under_checkpoint_root(spark):
     p = scratch_path(spark, "x")
     assert p.startswith(root + "/navedge/x-")
     assert scratch_path(spark, "x") != p
+
+
+def test_corrupt_column_leaves_shared_schema_alone(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "e.tsv"), "w") as f:
+        f.write("a\tb\tlink\t3\n")
+    read_tsv(spark, tmpdir_path, corrupt_column="_bad")
+    assert S.EDGE_SCHEMA.fieldNames() == S.EDGE_COLUMNS
