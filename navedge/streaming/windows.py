@@ -35,4 +35,4 @@ def run_window_counts(events: DataFrame, ts: str, keys: list[str], watermark: st
                       path: str | None = None, checkpoint: str | None = None,
                       trigger: str | None = "availableNow", **window):
     return run_change_log(window_count_stream(events, ts, keys, watermark=watermark, **window),
-                          path, checkpoint, trigger, "window_counts")
+                          path, checkpoint, trigger, None)
