@@ -1,9 +1,10 @@
 """Command line: the batch questions over an edge file, or the message stream.
 
-  python -m navedge questions --input edges.tsv --out DIR [--input-format tsv|parquet]
+  python -m navedge questions --input edges.tsv --out DIR [--input-format tsv|parquet|changelog]
                               [--output-format parquet|csv] [--jdbc-url URL ...]
   python -m navedge stream <bootstrap-servers> <subscribe-type> <topics> <checkpoint-location>
                            --out DIR [--message-format tab|strict|json] [--trigger "40 seconds"]
+                           [--route complete|changelog]
   python -m navedge stream --source-dir DIR <checkpoint-location> --out DIR ...   (file stream)
 
 The checkpoint location is required for streams: a random one (the original
@@ -28,14 +29,27 @@ def _write(df, path: str, fmt: str) -> None:
     (w.option("header", "true").csv(path) if fmt == "csv" else w.parquet(path))
 
 
+def load_edges_for_questions(spark, path: str, fmt: str, sep: str = "\t"):
+    """Edge table for the questions. A TSV dump is converted to Parquet once
+    (in the shared scratch folder) so that the nine questions read pruned
+    columns with pushed filters instead of parsing the text nine times; a
+    change log is folded to each edge's latest row."""
+    from navedge.session import scratch_path
+    from navedge.sources.files import drop_header, read_tsv
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    if fmt == "changelog":
+        from navedge.streaming.engine import current_edges
+        return current_edges(spark, path)
+    staged = scratch_path(spark, "edges-parquet")
+    drop_header(read_tsv(spark, path, sep=sep)).write.parquet(staged)
+    return spark.read.parquet(staged)
+
+
 def cmd_questions(args) -> int:
     from navedge.plans.questions import all_questions
-    from navedge.sources.files import drop_header, read_tsv
     spark = _session()
-    if args.input_format == "parquet":
-        edges = spark.read.parquet(args.input)
-    else:
-        edges = drop_header(read_tsv(spark, args.input, sep=args.sep))
+    edges = load_edges_for_questions(spark, args.input, args.input_format, args.sep)
     answers = all_questions(args.referer, args.link_type, args.article, args.pattern)
     for name, fn in answers.items():
         result = fn(edges)
@@ -66,8 +80,12 @@ def cmd_stream(args) -> int:
         return 2
     fmt, strict = ("tab", True) if args.message_format == "strict" else (args.message_format, False)
     edges = edge_totals(parse_messages(raw, fmt, strict=strict))
-    query, _ = run_answers(edges, all_questions(), out_root=args.out, checkpoint=checkpoint,
-                           trigger=args.trigger, name="navedge_answers")
+    if args.route == "changelog":
+        from navedge.streaming.engine import run_change_log
+        query, _ = run_change_log(edges, args.out, checkpoint, args.trigger, "navedge_edges")
+    else:
+        query, _ = run_answers(edges, all_questions(), out_root=args.out, checkpoint=checkpoint,
+                               trigger=args.trigger, name="navedge_answers")
     await_done(query, args.timeout)
     return 0
 
@@ -78,7 +96,8 @@ def main(argv: list[str] | None = None) -> int:
 
     q = sub.add_parser("questions", help="answer the nine questions over an edge table")
     q.add_argument("--input", required=True)
-    q.add_argument("--input-format", choices=["tsv", "parquet"], default="tsv")
+    q.add_argument("--input-format", choices=["tsv", "parquet", "changelog"], default="tsv",
+                   help="changelog: the edge log written by `stream --route changelog`")
     q.add_argument("--sep", default="\t")
     q.add_argument("--out", required=True)
     q.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
@@ -97,6 +116,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--message-format", choices=["tab", "strict", "json"], default="tab")
     s.add_argument("--out", required=True)
+    s.add_argument("--route", choices=["complete", "changelog"], default="complete",
+                   help="complete: answers per batch; changelog: changed edges per batch, "
+                        "answers on read with `questions --input-format changelog`")
     s.add_argument("--trigger", default=S.DEFAULT_TRIGGER,
                    help='processing-time interval, or "availableNow" to drain and stop')
     s.add_argument("--timeout", type=float, help="seconds to wait before returning")

@@ -37,3 +37,18 @@ def test_stream_command_on_files(spark, tmpdir_path):
 
 def test_stream_command_needs_checkpoint():
     assert main(["stream", "h:9092", "subscribe", "clickers", "--out", "/nonexistent"]) == 2
+
+
+def test_changelog_route_then_questions(spark, tmpdir_path):
+    clicks = load_clicks(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "msgs")
+    tab_message(clicks.repartition(3)).write.text(src)
+    log = os.path.join(tmpdir_path, "log")
+    assert main(["stream", "--source-dir", src, os.path.join(tmpdir_path, "ckpt"), "--out", log,
+                 "--trigger", "availableNow", "--max-files-per-trigger", "1",
+                 "--route", "changelog"]) == 0
+    out = os.path.join(tmpdir_path, "answers")
+    assert main(["questions", "--input", log, "--input-format", "changelog", "--out", out]) == 0
+    edges = clickstream(clicks)
+    assert rows(spark.read.parquet(f"{out}/inflow_outflow")) == rows(Q.inflow_outflow(edges))
+    assert rows(spark.read.parquet(f"{out}/top_referers")) == rows(Q.top_referers(edges))
