@@ -7,7 +7,7 @@ dropped (left anti join), and the batch rows are added. Applying the same
 batch twice gives the same table.
 
 Both sides of the anti join hold at most one row per key, so no key can be
-hot in the join; the dedupe is a grouped ``max_by`` that Spark combines
+hot in the join; the dedupe is a grouped ``max`` of a struct that Spark combines
 partially before its shuffle.
 """
 
@@ -27,22 +27,31 @@ def _null_safe_cond(left: DataFrame, right: DataFrame, keys: list[str], prefix:
     return cond
 
 
+def _greatest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Each key's row with the greatest ``order``; equal ``order`` values are
+    settled by the remaining columns, so the choice never depends on row order.
+    ``max`` of a struct combines partially before the shuffle."""
+    values = [c for c in df.columns if c not in keys and c != order]
+    packed = F.max(F.struct(F.col(order).alias("_nv_o"), *[F.col(c) for c in values])).alias("_nv_v")
+    picked = df.groupBy(*keys).agg(packed)
+    return picked.select(*keys, F.col("_nv_v._nv_o").alias(order),
+                         *[F.col(f"_nv_v.{c}").alias(c) for c in values])
+
+
 def one_per_key(batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """One row per key; with ``order``, the row with its greatest value."""
-    values = [c for c in batch.columns if c not in keys]
+    """One row per key; with ``order``, the row with its greatest value
+    (without it, any one row of the key)."""
     if order is None:
         return batch.dropDuplicates(keys)
-    if not values:
-        return batch.select(*keys).distinct()
-    packed = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(order)).alias("_nv_v")
-    return batch.groupBy(*keys).agg(packed).select(*keys, "_nv_v.*")
+    return _greatest_per_key(batch, keys, order)
 
 
 def replace_into(target: DataFrame, batch: DataFrame, keys: list[str] | None = None,
                  order: str | None = None) -> DataFrame:
     keys = list(keys or KEY_COLUMNS)
     cols = target.columns
-    fresh = one_per_key(batch.select(*cols), keys, order)
+    carry = [order] if order and order not in cols else []
+    fresh = one_per_key(batch.select(*cols, *carry), keys, order).select(*cols)
     batch_keys = fresh.select(*[F.col(k).alias(f"_nv_k_{k}") for k in keys])
     kept = target.join(batch_keys, _null_safe_cond(target, batch_keys, keys, "_nv_k_"), "left_anti")
     return kept.unionByName(fresh)
@@ -50,6 +59,4 @@ def replace_into(target: DataFrame, batch: DataFrame, keys: list[str] | None = N
 
 def latest_per_key(log: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
     """Fold of ``replace_into`` over versions: each key's row of its highest version."""
-    values = [c for c in log.columns if c not in keys and c != version]
-    packed = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(version)).alias("_nv_v")
-    return log.groupBy(*keys).agg(packed).select(*keys, "_nv_v.*")
+    return _greatest_per_key(log, keys, version).drop(version)

@@ -177,3 +177,13 @@ def test_avro_is_gated(spark):
         assert "spark-avro" in str(e)
     else:
         assert out.columns == S.EDGE_COLUMNS
+
+
+def test_replace_into_order_outside_target_and_ties(spark):
+    target = _edges(spark, [("a", "b", "l", 1)])
+    batch = spark.createDataFrame([("a", "b", "l", 7, 3), ("a", "b", "l", 9, 3), ("a", "b", "l", 5, 2)],
+                                  "prev string, curr string, type string, n bigint, seq int")
+    got = replace_into(target, batch, order="seq")
+    assert got.columns == S.EDGE_COLUMNS
+    # equal order values: the larger remaining value wins, every time
+    assert rows(got) == [("a", "b", "l", 9)]
