@@ -336,6 +336,15 @@ def replace_into(spark, sf_dir):
 STREAM_BATCHES = 4
 
 
+def _stream_session(spark, sf_dir):
+    """Stream keys run in a child session whose shuffle (and so state) partition
+    count follows the input: one per million events, at most the session's."""
+    from navedge.session import session_with_partitions, sized_partitions
+    from navedge.sources.events import read_events
+    rows = read_events(spark, sf_dir).count()  # from Parquet footers
+    return session_with_partitions(spark, sized_partitions(spark, rows))
+
+
 def _message_stream(spark, sf_dir, fmt="tab"):
     from navedge.sources.messages import files_per_trigger, stage_messages, text_stream
     path = stage_messages(load_clicks(spark, sf_dir), fmt)
@@ -356,6 +365,7 @@ def _stream_answer(spark, sf_dir, name, fn, fmt="json"):
 
 @register("stream_edges", _CLICK_ROWS_SQL)
 def stream_edges(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, run_append
     q, path = run_append(_parsed_stream(spark, sf_dir, "tab"))
     await_done(q)
@@ -365,6 +375,7 @@ def stream_edges(spark, sf_dir):
 @register("stream_top_articles", ORACLE["q1_top_articles"])
 def stream_top_articles(spark, sf_dir):
     """Question 1 run directly as a complete-mode sorted streaming aggregate."""
+    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, latest_answer, run_answers
     top = Q.top_articles(_parsed_stream(spark, sf_dir, "tab"))
     q, out = run_answers(top, {"q1": lambda b: b})
@@ -374,16 +385,19 @@ def stream_top_articles(spark, sf_dir):
 
 @register("stream_top_referers", ORACLE["q2_top_referers"])
 def stream_top_referers(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q2", Q.top_referers)
 
 
 @register("stream_top_from_referer", ORACLE["q3_top_from_referer"])
 def stream_top_from_referer(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q3", Q.top_from_referer)
 
 
 @register("stream_missing_pages", ORACLE["q4_missing_pages"])
 def stream_missing_pages(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q4", Q.missing_pages)
 
 
@@ -392,6 +406,7 @@ def stream_inflow_outflow(spark, sf_dir):
     """A whole-table answer through the large-state route: the stream writes only
     the edges each batch changed, and the answer is computed on read from the
     latest row of every edge."""
+    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
     q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "tab")))
     await_done(q)
@@ -409,11 +424,13 @@ def _article_edges(edges):
     f", t2 AS ({_INTO}), t1 AS ({_OUT}) SELECT 'q7' AS question, prev, curr, type, n FROM t2 "
     "UNION ALL SELECT 'q8' AS question, prev, curr, type, n FROM t1"))
 def stream_article_edges(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q7q8", _article_edges)
 
 
 @register("stream_update_replace", _EDGES_SQL)
 def stream_update_replace(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
     q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "json")))
     await_done(q)
@@ -422,6 +439,7 @@ def stream_update_replace(spark, sf_dir):
 
 @register("stream_window_counts", WINDOW_ORACLE_SQL)
 def stream_window_counts(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     from pyspark.sql import functions as F
     from navedge.session import default_parallelism, scratch_path
     from navedge.sinks.versioned import read_latest_per_key
@@ -447,6 +465,7 @@ def stream_window_counts(spark, sf_dir):
 
 @register("stream_fanout", _CLICK_ROWS_SQL)
 def stream_fanout(spark, sf_dir):
+    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, run_fanout
     q, csv_path, _ = run_fanout(_parsed_stream(spark, sf_dir, "tab"))
     await_done(q)

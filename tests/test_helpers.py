@@ -53,3 +53,15 @@ def test_corrupt_column_leaves_shared_schema_alone(spark, tmpdir_path):
         f.write("a\tb\tlink\t3\n")
     read_tsv(spark, tmpdir_path, corrupt_column="_bad")
     assert S.EDGE_SCHEMA.fieldNames() == S.EDGE_COLUMNS
+
+
+def test_child_session_leaves_parent_alone(spark):
+    from navedge.session import session_with_partitions, sized_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    child = session_with_partitions(spark, 3)
+    assert child.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert child.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert sized_partitions(spark, 10) == 1
+    assert sized_partitions(spark, 10**12) == int(before)
+    assert sized_partitions(spark, 2_500_000) == min(3, int(before))
