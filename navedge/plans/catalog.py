@@ -345,9 +345,15 @@ def _stream_session(spark, sf_dir):
     return session_with_partitions(spark, sized_partitions(spark, rows))
 
 
+def _stream_files(spark):
+    """At least one staged file per intended micro-batch."""
+    from navedge.session import default_parallelism
+    return max(STREAM_BATCHES, default_parallelism(spark))
+
+
 def _message_stream(spark, sf_dir, fmt="tab"):
     from navedge.sources.messages import files_per_trigger, stage_messages, text_stream
-    path = stage_messages(load_clicks(spark, sf_dir), fmt)
+    path = stage_messages(load_clicks(spark, sf_dir), fmt, files=_stream_files(spark))
     return text_stream(spark, path, files_per_trigger(spark, path, STREAM_BATCHES))
 
 
@@ -441,7 +447,7 @@ def stream_update_replace(spark, sf_dir):
 def stream_window_counts(spark, sf_dir):
     spark = _stream_session(spark, sf_dir)
     from pyspark.sql import functions as F
-    from navedge.session import default_parallelism, scratch_path
+    from navedge.session import scratch_path
     from navedge.sinks.versioned import read_latest_per_key
     from navedge.sources.events import read_events
     from navedge.sources.messages import files_per_trigger
@@ -450,7 +456,7 @@ def stream_window_counts(spark, sf_dir):
     staged = scratch_path(spark, "events-stream")
     ev = read_events(spark, sf_dir).select("ts", "event_type")
     # each file one span of event time (no watermark here, so read order does not matter)
-    ev.repartitionByRange(default_parallelism(spark), "ts").write.parquet(staged)
+    ev.repartitionByRange(_stream_files(spark), "ts").write.parquet(staged)
     per = files_per_trigger(spark, staged, STREAM_BATCHES)
     stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(per))
               .parquet(staged))

@@ -56,16 +56,18 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
-def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None) -> str:
+def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None,
+                   files: int | None = None) -> str:
     """Write click rows as message lines, one file per shuffle partition.
 
-    Hash-partitioned on ``event_id`` into the session's parallelism, so the
-    write has as many tasks as any other stage (not a fixed handful) and the
-    file count does not depend on how adaptive execution coalesced the input.
+    Hash-partitioned on ``event_id`` into ``files`` files (default: the
+    session's parallelism), so the write has as many tasks as any other stage
+    and the file count does not depend on how adaptive execution coalesced the
+    input.
     """
     spark = clicks.sparkSession
     path = path or scratch_path(spark, f"messages-{fmt}")
-    n = default_parallelism(spark)
+    n = int(files or default_parallelism(spark))
     rows = (clicks.repartition(n, "event_id").sortWithinPartitions("event_id")
             if "event_id" in clicks.columns else clicks.repartition(n))
     write_text(tab_message(rows) if fmt == "tab" else json_message(rows), path)

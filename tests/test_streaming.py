@@ -124,3 +124,14 @@ def test_staged_stream_runs_several_batches(spark):
     await_done(q)
     batches = [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) >= 2
+
+
+def test_registered_stream_keys_run_several_batches(spark):
+    # stream keys run in a child session sized by the input (one partition at
+    # this scale); staging must still give several micro-batches
+    from navedge.plans import catalog as C
+    child = C._stream_session(spark, SF_SMALL)
+    assert child.conf.get("spark.sql.shuffle.partitions") == "1"
+    q, _ = run_change_log(edge_totals(C._parsed_stream(child, SF_SMALL, "tab")))
+    await_done(q)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 3
