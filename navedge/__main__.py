@@ -6,6 +6,7 @@
                            --out DIR [--message-format tab|strict|json] [--trigger "40 seconds"]
                            [--route complete|changelog]
   python -m navedge stream --source-dir DIR <checkpoint-location> --out DIR ...   (file stream)
+  python -m navedge conf --input-bytes 100T --cores 8000       (spark-submit --conf flags)
 
 The checkpoint location is required for streams: a random one (the original
 default) would make a restarted job start over.
@@ -90,6 +91,23 @@ def cmd_stream(args) -> int:
     return 0
 
 
+_UNITS = {"": 1, "K": 1 << 10, "M": 1 << 20, "G": 1 << 30, "T": 1 << 40, "P": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """``100T``, ``512G``, ``2048`` -> bytes (binary units)."""
+    t = text.strip().upper().rstrip("B")
+    unit = t[-1] if t and t[-1] in _UNITS else ""
+    return int(float(t[: len(t) - len(unit)]) * _UNITS[unit])
+
+
+def cmd_conf(args) -> int:
+    from navedge.session import scale_conf
+    for k, v in scale_conf(parse_bytes(args.input_bytes), args.cores).items():
+        print(f"--conf {k}={v}")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="navedge")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -124,6 +142,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--timeout", type=float, help="seconds to wait before returning")
     s.set_defaults(fn=cmd_stream)
 
+    c = sub.add_parser("conf", help="print --conf flags sized for an input")
+    c.add_argument("--input-bytes", required=True, help="e.g. 100T, 512G")
+    c.add_argument("--cores", type=int, required=True, help="total executor cores")
+    c.set_defaults(fn=cmd_conf)
+
     args = p.parse_args(argv)
     return args.fn(args)
 

@@ -52,3 +52,11 @@ def test_changelog_route_then_questions(spark, tmpdir_path):
     edges = clickstream(clicks)
     assert rows(spark.read.parquet(f"{out}/inflow_outflow")) == rows(Q.inflow_outflow(edges))
     assert rows(spark.read.parquet(f"{out}/top_referers")) == rows(Q.top_referers(edges))
+
+
+def test_conf_command(capsys):
+    from navedge.__main__ import parse_bytes
+    assert parse_bytes("100T") == 100 << 40 and parse_bytes("512g") == 512 << 30
+    assert main(["conf", "--input-bytes", "100T", "--cores", "8000"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert "--conf spark.sql.shuffle.partitions=409600" in out
