@@ -58,18 +58,19 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None,
                    files: int | None = None) -> str:
-    """Write click rows as message lines, one file per shuffle partition.
+    """Write click rows as message lines into ``files`` files (default: the
+    session's parallelism).
 
-    Hash-partitioned on ``event_id`` into ``files`` files (default: the
-    session's parallelism), so the write has as many tasks as any other stage
-    and the file count does not depend on how adaptive execution coalesced the
-    input.
+    Round-robin, not hashed on a key: files stay equal in size even when one
+    message arrives in a great many copies, and the write has as many tasks
+    as any other stage whatever adaptive execution did to the input.
     """
     spark = clicks.sparkSession
     path = path or scratch_path(spark, f"messages-{fmt}")
     n = int(files or default_parallelism(spark))
-    rows = (clicks.repartition(n, "event_id").sortWithinPartitions("event_id")
-            if "event_id" in clicks.columns else clicks.repartition(n))
+    rows = clicks.repartition(n)
+    if "event_id" in clicks.columns:
+        rows = rows.sortWithinPartitions("event_id")
     write_text(tab_message(rows) if fmt == "tab" else json_message(rows), path)
     return path
 
