@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from navedge.session import default_parallelism
 
+_ROW = "_nv_row"
 _SLICE = "_nv_slice"
 _FIRST = "_nv_first"
 _GROUP = "_nv_group"
@@ -39,7 +40,14 @@ def skew_safe_lag(df: DataFrame, key: str, order: list[str], value: str | Column
     pass for the range bounds does not evaluate it) and kept as ``value_name``.
     """
     n = num_slices or default_parallelism(df.sparkSession)
-    sliced = (df.repartitionByRange(n, key, *order)
+    # A row id as the last sort key: exact copies of one row (same key and
+    # order values) would otherwise be one range key that no slice can split.
+    # Copies carry equal values, so their order among themselves changes no
+    # lag; the id depends only on the scan's fixed splits, so a recomputed
+    # task assigns the same ids.
+    order = [*order, _ROW]
+    sliced = (df.withColumn(_ROW, F.monotonically_increasing_id())
+              .repartitionByRange(n, key, *order)
               .withColumn(_SLICE, F.spark_partition_id()))
     if isinstance(value, Column):
         sliced = sliced.withColumn(value_name, value)
@@ -59,4 +67,4 @@ def skew_safe_lag(df: DataFrame, key: str, order: list[str], value: str | Column
     fixed = inner.withColumn(_CARRY, F.lag(value).over(w2))
     return (fixed
             .withColumn(out, F.when(F.col(_FIRST), F.col(_CARRY)).otherwise(F.col(out)))
-            .drop(_SLICE, _FIRST, _GROUP, _CARRY))
+            .drop(_ROW, _SLICE, _FIRST, _GROUP, _CARRY))

@@ -44,3 +44,20 @@ def test_edge_table_under_skew_matches_plain_derivation(skewed):
     a = clickstream(clicks(skewed, num_slices=32))
     b = clickstream(clicks(skewed, num_slices=1))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_copies_of_one_event_are_split(spark):
+    # a third of all rows are exact copies of one event
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    copies = (ev.where("event_id = 7")
+              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50000))))
+              .drop("copy"))
+    data = ev.unionByName(copies)
+    total = data.count()
+    out = skew_safe_lag(data, "user_id", ["ts", "event_id"], "props", "p", 16)
+    biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert biggest / total < 2.0 / 16
+    plain = data.withColumn("p", F.lag("props").over(
+        Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    key = ["event_id", "p"]
+    assert out.groupBy(*key).count().exceptAll(plain.groupBy(*key).count()).count() == 0
