@@ -58,6 +58,9 @@ def stacked_questions(edges: DataFrame, **params) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
+    # the SQL text is analysed already (the view's plan is inlined), so the
+    # session catalog need not keep one view per call
+    edges.sparkSession.catalog.dropTempView(view)
     return out
 
 
