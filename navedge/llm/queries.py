@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, secret_scan, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op3_simhash": simhash.op3_simhash,
+    "op5_secrets": secret_scan.op5_secrets,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 
