@@ -88,6 +88,8 @@ def run_state(spark: SparkSession, arrivals_path: str, schema, state_dir: str, l
     child.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     child.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Files as large as their content: each of many stores would set megabytes aside.
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     state = (child.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(arrivals_path)
              .groupBy("digest").agg(_best().alias("best"), F.count(F.lit(1)).alias("n")))
 
