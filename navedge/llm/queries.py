@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, secret_scan, simhash, toxicity
+from . import exact_dedup, packing, secret_scan, simhash, token_store, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_token_store": token_store.op2_token_store,
     "op3_simhash": simhash.op3_simhash,
     "op5_secrets": secret_scan.op5_secrets,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_packing": packing.op9_packing,
 }
 
 ORACLE = {
