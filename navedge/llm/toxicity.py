@@ -37,6 +37,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import read_table, staged
 
@@ -301,8 +302,7 @@ def _with_score(docs: DataFrame, words: dict, coefficients: tuple) -> DataFrame:
             for scored in inner(iter([part])):
                 yield pa.RecordBatch.from_arrays([*batch.columns, scored.column("score")], [*names, "_nv_score"])
 
-    schema = docs.schema.add("_nv_score", "double") if "_nv_score" not in names else docs.schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_nv_score", DoubleType())]))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
