@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, secret_scan, simhash, token_store, toxicity
+from . import bpe_chunks, exact_dedup, packing, secret_scan, simhash, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op5_secrets": secret_scan.op5_secrets,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_byte_bpe": bpe_chunks.op8_byte_bpe,
     "op9_packing": packing.op9_packing,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE = {
