@@ -1,8 +1,8 @@
 """Token ids as Parquet list columns.
 
-One row per document in ascending doc_id order: metadata columns and ``ids``,
-an array of integers. Parquet's second page version writes the numbers with
-delta encoding and the strings with a dictionary; row groups and pages have
+One row per document in ascending doc_id order: number columns and ``ids``,
+an array of integers. Parquet's second page version writes them with delta
+encoding, as the dictionary is off; row groups and pages have
 set sizes, and the page indexes that Parquet-MR writes let a reader skip pages
 by doc_id. Readers that ask for metadata alone never touch the ids, and those
 that ask for some documents read their pages alone.
@@ -37,6 +37,7 @@ FORMAT = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "false",
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
 }
 SCHEMA = "doc_id long, n_tokens long, start_in_file long, file_no int, ids array<int>"
 
@@ -81,7 +82,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, n_tokens, start: columns of a few bytes a document; the ids are not read."""
-    return starts(read(spark, path).drop("ids"))
+    rows = read(spark, path).drop("ids")
+    return starts(rows, rows)
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: Iterable[int]) -> DataFrame:
@@ -89,10 +91,9 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: Iterable[int]) -> DataF
     return read(spark, path).where(F.col("doc_id").isin(*map(int, doc_ids)))
 
 
-def starts(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``start``: ids of all documents before. One total for each file is summed up."""
-    spark_rows = rows.select("file_no", "start_in_file", "n_tokens")
-    totals = spark_rows.groupBy("file_no").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("total"))
+def starts(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``rows`` with ``start``: ids of all documents before. One total for each file of ``stored`` is summed up."""
+    totals = stored.groupBy("file_no").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("total"))
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
     first = totals.select("file_no", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("first"))
     # One row a file.
@@ -130,4 +131,4 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write(read_table(spark, sf_dir, "documents"), path, byte_bpe_path(), end_id=2)
     rows = read(spark, path)
-    return starts(digests(rows)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return starts(digests(rows), rows).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -4,8 +4,7 @@ A text is cut where the tokenizer's own pre-tokenisation always cuts, the
 library encodes each distinct piece, and its ids are kept as little-endian
 32-bit integers, so that encoding a text is mostly a join of byte strings.
 Texts in which such cuts could change the result go to the library whole.
-The cache holds at most ``CACHE_UNITS`` pieces in each of two generations;
-beyond that the older one goes.
+The cache starts anew beyond ``CACHE_UNITS`` pieces.
 """
 
 from __future__ import annotations
@@ -15,27 +14,53 @@ import sys
 import types
 from array import array
 
-#: Pieces in one generation of the cache.
-CACHE_UNITS = 400_000
+#: Pieces that a cache holds at most.
+CACHE_UNITS = 700_000
 
-#: Runs of white space that a cut before each blank could split, and white space that isn't a blank or line feed.
-_RISKY = re.compile(r"[ \n]{3}|[ \n]{2}\Z|[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
-
-
-_ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
+#: White space other than blanks and line feeds: pre-tokenisers may not agree on it.
+_ODD = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
+_ODD_WIDE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
+#: Runs of white space that a cut before each blank and line feed could split.
+_RUNS = re.compile(r"[ \n]{3}|[ \n]{2}\Z")
 _WORD = re.compile(r"[^ \t\n\r\f\v]+")
-
-
-#: A word that is one pre-token with or without the blank before it, and a mark that is a pre-token of its own.
+#: A word that is one pre-token, with or without what may stand before it, and marks that are one more.
 #: Normal forms and lower case of these letters hold no surprise.
-_SIMPLE = re.compile(r" ?([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)\Z")
+_SIMPLE = re.compile(r"(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 up."""
+def _byte_letters(lower: bool) -> dict[int, str]:
+    """Code point below 256 -> letters that stand for its UTF-8 bytes in a byte-level vocabulary.
+
+    A byte that prints stands for itself, the others for code points from 256 up.
+    """
     prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in prints]
-    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+    letter = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(letter[b] for b in (chr(c).lower() if lower else chr(c)).encode()) for c in range(256)}
+
+
+class _Pieces(dict):
+    """piece -> ids; ``blank`` stood before each piece that doesn't start with a line feed."""
+
+    def __init__(self, encoder: Encoder, blank: str):
+        self.encoder, self.blank = encoder, blank
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_UNITS:
+            self.clear()
+        encoder, simple = self.encoder, _SIMPLE.match(piece)
+        if not simple:
+            out = encoder.whole(piece if piece[:1] == "\n" else self.blank + piece)
+        else:
+            feed, word, marks = simple.groups()
+            if marks:
+                out = self[feed + word] + encoder.mark(marks)
+            elif feed:
+                out = encoder.mark(feed) + encoder.word(word, "")
+            else:
+                out = encoder.word(word, self.blank)
+        self[piece] = out
+        return out
 
 
 class Encoder:
@@ -49,58 +74,37 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model, self.letters, self.keeps_spaces = self.tokenizer.model, _byte_letters(), keeps_spaces
-        self.now: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.tokenize, self.keeps_spaces = self.tokenizer.model.tokenize, keeps_spaces
+        self.letters = _byte_letters(lower=not keeps_spaces)
+        self.blanks = {"": "", " ": self.letters[ord(" ")]}
+        self.first, self.rest, self.marks = _Pieces(self, ""), _Pieces(self, " "), {"": b""}
 
     def whole(self, text: str) -> bytes:
         """By the tokenizer with all its steps."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def token(self, text: str) -> bytes:
-        """One pre-token, by the tokenizer's model alone."""
-        text = text if self.keeps_spaces else text.lower()
-        text = text.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+    def word(self, text: str, blank: str) -> bytes:
+        """One pre-token of simple letters, by the tokenizer's model alone."""
+        return array("I", [t.id for t in self.tokenize(self.blanks[blank] + text.translate(self.letters))]).tobytes()
 
-    def pieces(self, text: str) -> list[str]:
+    def mark(self, text: str) -> bytes:
+        if (ids := self.marks.get(text)) is None:
+            ids = self.whole(text)
+            if len(self.marks) < CACHE_UNITS:
+                self.marks[text] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
         if not self.keeps_spaces:
-            return _WORD.findall(text) if _ODD.search(text) else text.split()
-        if _RISKY.search(text):
-            return [text]
-        # A piece starts at each blank and at each line feed.
+            return b"".join(map(self.first.__getitem__, _WORD.findall(text) if _ODD_WIDE.search(text) else text.split()))
+        if _ODD.search(text) or ("  " in text or "\n\n" in text or "\n " in text or " \n" in text) and _RUNS.search(text):
+            return self.whole(text)
+        # A piece starts at each blank, which it loses, and at each line feed, which it keeps.
         first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[x if x[:1] == "\n" else " " + x for x in rest]]
-
-    def learn(self, missing: list[str]) -> None:
-        if len(self.now) + len(missing) > CACHE_UNITS:
-            self.old, self.now = self.now, {}
-        now, old = self.now, self.old
-        for x in missing:
-            known = old.get(x)
-            if known is None:
-                if simple := _SIMPLE.match(x):
-                    stem = x[:-1] if simple[2] else x
-                    known = now.get(stem) or old.get(stem)
-                    if known is None:
-                        known = now[stem] = self.token(stem)
-                    if simple[2]:
-                        known += now.get(simple[2]) or self.whole(simple[2])
-                else:
-                    known = self.whole(x)
-            now[x] = known
+        return self.first[first] + b"".join(map(self.rest.__getitem__, rest))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(texts), 256):
-            cut = [self.pieces(x) for x in texts[i:i + 256]]
-            self.learn(list(set().union(*cut) - self.now.keys()))
-            get = self.now.__getitem__
-            try:
-                out += [b"".join(map(get, x)) for x in cut]
-            except KeyError:  # the cache has turned over: what this block knew is in the older half
-                out += [b"".join(self.now.get(p) or self.old.get(p) or self.whole(p) for p in x) for x in cut]
-        return out
+        return [self.encode(x) for x in texts]
 
 
 def worker_encoder(path: str, keeps_spaces: bool) -> Encoder:
