@@ -4,7 +4,8 @@
                               [--output-format parquet|csv] [--jdbc-url URL ...]
   python -m navedge stream <bootstrap-servers> <subscribe-type> <topics> <checkpoint-location>
                            --out DIR [--message-format tab|strict|json] [--trigger "40 seconds"]
-                           [--route complete|changelog]
+                           [--route changelog|complete|append|fanout|console] [--k N] [--referer ...]
+                           [--starting-offsets earliest] [--allow-data-loss] [--max-offsets-per-trigger N]
   python -m navedge stream --source-dir DIR <checkpoint-location> --out DIR ...   (file stream)
   python -m navedge conf --input-bytes 100T --cores 8000       (spark-submit --conf flags)
 
@@ -26,8 +27,11 @@ def _session():
 
 
 def _write(df, path: str, fmt: str) -> None:
-    w = df.write.mode("overwrite")
-    (w.option("header", "true").csv(path) if fmt == "csv" else w.parquet(path))
+    if fmt == "csv":
+        from navedge.sources.files import write_csv
+        write_csv(df, path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def load_edges_for_questions(spark, path: str, fmt: str, sep: str = "\t"):
@@ -39,11 +43,12 @@ def load_edges_for_questions(spark, path: str, fmt: str, sep: str = "\t"):
     from navedge.sources.files import drop_header, read_tsv
     if fmt == "parquet":
         return spark.read.parquet(path)
+    staged = scratch_path(spark, "edges-parquet")
     if fmt == "changelog":
         from navedge.streaming.engine import current_edges
-        return current_edges(spark, path)
-    staged = scratch_path(spark, "edges-parquet")
-    drop_header(read_tsv(spark, path, sep=sep)).write.parquet(staged)
+        current_edges(spark, path).write.parquet(staged)
+    else:
+        drop_header(read_tsv(spark, path, sep=sep)).write.parquet(staged)
     return spark.read.parquet(staged)
 
 
@@ -51,12 +56,15 @@ def cmd_questions(args) -> int:
     from navedge.plans.questions import all_questions
     spark = _session()
     edges = load_edges_for_questions(spark, args.input, args.input_format, args.sep)
-    answers = all_questions(args.referer, args.link_type, args.article, args.pattern)
+    answers = all_questions(args.referer, args.link_type, args.article, args.pattern, args.k)
     for name, fn in answers.items():
+        path = f"{args.out.rstrip('/')}/{name}"
         result = fn(edges)
-        _write(result, f"{args.out.rstrip('/')}/{name}", args.output_format)
+        _write(result, path, args.output_format)
         if args.jdbc_url:
             from navedge.sinks.jdbc import jdbc_options, write_table
+            if args.output_format == "parquet":
+                result = spark.read.parquet(path)  # the answer as written, not computed again
             write_table(result, jdbc_options(args.jdbc_url, name, args.jdbc_user, args.jdbc_password))
     return 0
 
@@ -64,7 +72,7 @@ def cmd_questions(args) -> int:
 def cmd_stream(args) -> int:
     from navedge.plans.questions import all_questions
     from navedge.sources.messages import kafka_options, kafka_stream, text_stream
-    from navedge.streaming.engine import await_done, edge_totals, parse_messages, run_answers
+    from navedge.streaming import engine as X
     spark = _session()
     if args.source_dir:
         raw = text_stream(spark, args.source_dir, args.max_files_per_trigger)
@@ -75,22 +83,40 @@ def cmd_stream(args) -> int:
                   file=sys.stderr)
             return 2
         servers, kind, topics, checkpoint = args.positional[:4]
-        raw = kafka_stream(spark, kafka_options(servers, kind, topics))
+        raw = kafka_stream(spark, kafka_options(servers, kind, topics, args.starting_offsets,
+                                                not args.allow_data_loss, args.max_offsets_per_trigger))
     if not checkpoint:
         print("a checkpoint location is required", file=sys.stderr)
         return 2
+    if args.route != "console" and not args.out:
+        print("--out is required", file=sys.stderr)
+        return 2
     fmt, strict = ("tab", True) if args.message_format == "strict" else (args.message_format, False)
-    edges = edge_totals(parse_messages(raw, fmt, strict=strict))
+    rows = X.parse_messages(raw, fmt, strict=strict, escaped=args.escaped)
     if args.route == "changelog":
-        from navedge.streaming.engine import run_change_log
-        query, _ = run_change_log(edges, args.out, checkpoint, args.trigger, "navedge_edges")
+        query, _ = X.run_change_log(X.edge_totals(rows), args.out, checkpoint, args.trigger, "navedge_edges")
+    elif args.route == "append":
+        query, _ = X.run_append(rows, args.out, checkpoint, args.trigger, "navedge_append")
+    elif args.route == "fanout":
+        query, _, _ = X.run_fanout(rows, f"{args.out.rstrip('/')}/csv", f"{args.out.rstrip('/')}/parquet",
+                                   _jdbc_batch_writer(args), checkpoint, args.trigger)
+    elif args.route == "console":
+        query = X.run_console(rows, trigger=args.trigger, checkpoint=checkpoint)
     else:
-        query, _ = run_answers(edges, all_questions(), out_root=args.out, checkpoint=checkpoint,
-                               trigger=args.trigger, name="navedge_answers")
-    await_done(query, args.timeout)
+        answers = all_questions(args.referer, args.link_type, args.article, args.pattern, args.k)
+        query, _ = X.run_answers(X.edge_totals(rows), answers, out_root=args.out, checkpoint=checkpoint,
+                                 trigger=args.trigger, name="navedge_answers")
+    X.await_done(query, args.timeout)
     return 0
 
 
+def _jdbc_batch_writer(args):
+    if not args.jdbc_url:
+        return None
+    from navedge.sinks.jdbc import foreach_batch_writer, jdbc_options
+    return foreach_batch_writer(jdbc_options(args.jdbc_url, args.jdbc_table, args.jdbc_user, args.jdbc_password))
+
+
 _UNITS = {"": 1, "K": 1 << 10, "M": 1 << 20, "G": 1 << 30, "T": 1 << 40, "P": 1 << 50}
 
 
@@ -108,6 +134,17 @@ def cmd_conf(args) -> int:
     return 0
 
 
+def _question_arguments(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--referer", default=S.DEFAULT_REFERER)
+    p.add_argument("--link-type", default=S.DEFAULT_MISSING_TYPE)
+    p.add_argument("--article", default=S.DEFAULT_ARTICLE)
+    p.add_argument("--pattern", default=S.DEFAULT_ARTICLE_PATTERN)
+    p.add_argument("--k", type=int, help="rows of every ranked answer (default: each question's own)")
+    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="navedge")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -119,13 +156,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--sep", default="\t")
     q.add_argument("--out", required=True)
     q.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
-    q.add_argument("--referer", default=S.DEFAULT_REFERER)
-    q.add_argument("--link-type", default=S.DEFAULT_MISSING_TYPE)
-    q.add_argument("--article", default=S.DEFAULT_ARTICLE)
-    q.add_argument("--pattern", default=S.DEFAULT_ARTICLE_PATTERN)
-    q.add_argument("--jdbc-url")
-    q.add_argument("--jdbc-user")
-    q.add_argument("--jdbc-password")
+    _question_arguments(q)
     q.set_defaults(fn=cmd_questions)
 
     s = sub.add_parser("stream", help="answer the questions continuously from messages")
@@ -133,10 +164,17 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--source-dir", help="read message lines from files instead of Kafka")
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--message-format", choices=["tab", "strict", "json"], default="tab")
-    s.add_argument("--out", required=True)
-    s.add_argument("--route", choices=["complete", "changelog"], default="complete",
-                   help="complete: answers per batch; changelog: changed edges per batch, "
-                        "answers on read with `questions --input-format changelog`")
+    s.add_argument("--escaped", action="store_true", help="fields carry the marks of `escape_field`")
+    s.add_argument("--out", help="folder of the results; not for console")
+    s.add_argument("--route", choices=["changelog", "complete", "append", "fanout", "console"], default="changelog",
+                   help="changelog: changed edges per batch, answers on read with `questions --input-format changelog`; "
+                        "complete: answers per batch; append: parsed rows; fanout: rows to CSV, Parquet and JDBC; "
+                        "console: rows printed")
+    s.add_argument("--starting-offsets", default="earliest")
+    s.add_argument("--allow-data-loss", action="store_true", help="go on when offsets were lost")
+    s.add_argument("--max-offsets-per-trigger", type=int)
+    s.add_argument("--jdbc-table", default="edges")
+    _question_arguments(s)
     s.add_argument("--trigger", default=S.DEFAULT_TRIGGER,
                    help='processing-time interval, or "availableNow" to drain and stop')
     s.add_argument("--timeout", type=float, help="seconds to wait before returning")

@@ -39,22 +39,28 @@ def _greatest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def one_per_key(batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """One row per key; with ``order``, the row with its greatest value
-    (without it, any one row of the key)."""
+    """One row per key: that with the greatest ``order``, or else with the greatest values, column by column."""
     if order is None:
-        return batch.dropDuplicates(keys)
+        values = [c for c in batch.columns if c not in keys]
+        if not values:
+            return batch.select(*keys).distinct()
+        order = values[0]
     return _greatest_per_key(batch, keys, order)
 
 
+def matching_keys(rows: DataFrame, batch_keys: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join by key in which null equals null."""
+    renamed = batch_keys.select(*[F.col(k).alias(f"_nv_k_{k}") for k in keys])
+    return rows.join(renamed, _null_safe_cond(rows, renamed, keys, "_nv_k_"), how)
+
+
 def replace_into(target: DataFrame, batch: DataFrame, keys: list[str] | None = None,
                  order: str | None = None) -> DataFrame:
     keys = list(keys or KEY_COLUMNS)
     cols = target.columns
     carry = [order] if order and order not in cols else []
     fresh = one_per_key(batch.select(*cols, *carry), keys, order).select(*cols)
-    batch_keys = fresh.select(*[F.col(k).alias(f"_nv_k_{k}") for k in keys])
-    kept = target.join(batch_keys, _null_safe_cond(target, batch_keys, keys, "_nv_k_"), "left_anti")
-    return kept.unionByName(fresh)
+    return matching_keys(target, fresh, keys, "left_anti").unionByName(fresh.select(*cols))
 
 
 def latest_per_key(log: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:

@@ -156,10 +156,6 @@ def q9_union(spark, sf_dir):
     return Q.both_lists(load_edges(spark, sf_dir))
 
 
-_IN_COLS = "t2.prev AS in_prev, t2.curr AS in_curr, t2.type AS in_type, t2.n AS in_n"
-_OUT_COLS = "t1.prev AS out_prev, t1.curr AS out_curr, t1.type AS out_type, t1.n AS out_n"
-
-
 _RANK = "ROW_NUMBER() OVER (ORDER BY n DESC NULLS LAST, " + _ord("prev", "curr", "type") + ") AS rank"
 
 
@@ -173,17 +169,36 @@ def q9_side_by_side(spark, sf_dir):
     return Q.both_lists_side_by_side(load_edges(spark, sf_dir))
 
 
-@register("q9_paths", with_fixture(
-    _LISTS + f"SELECT {_OUT_COLS}, {_IN_COLS} FROM t1 JOIN t2 ON t1.prev = t2.curr"))
+# Joined forms of question 9: with 20 edges a list both have rows on the driver's tables.
+PAIR_K = 20
+
+
+def _edges_text_sql(alias: str) -> str:
+    text = "coalesce(prev, 'null') || '>' || coalesce(curr, 'null') || ':' || coalesce(type, 'null') || ':' || coalesce(CAST(n AS VARCHAR), 'null')"
+    return f"string_agg({text}, '; ' ORDER BY n DESC NULLS LAST, {_ord('prev', 'curr', 'type')}) AS {alias}"
+
+
+def _pair_sql(into_key: str, out_key: str, name: str) -> str:
+    return with_fixture(
+        f", t2 AS ({_edges_like_sql('curr', S.DEFAULT_ARTICLE_PATTERN, PAIR_K)}), "
+        f"t1 AS ({_edges_like_sql('prev', S.DEFAULT_ARTICLE_PATTERN, PAIR_K)}), "
+        f"i AS (SELECT {into_key} AS k, {_edges_text_sql('in_edges')} FROM t2 GROUP BY {into_key}), "
+        f"o AS (SELECT {out_key} AS k, {_edges_text_sql('out_edges')} FROM t1 GROUP BY {out_key}) "
+        f"SELECT i.k AS {name}, in_edges, out_edges FROM i JOIN o ON i.k = o.k")
+
+
+def _as_text(pairs: DataFrame) -> DataFrame:
+    return pairs.select(pairs.columns[0], *[Q.edge_text(c).alias(c) for c in ("in_edges", "out_edges")])
+
+
+@register("q9_paths", _pair_sql("curr", "prev", "article"))
 def q9_paths(spark, sf_dir):
-    return Q.two_step_paths(load_edges(spark, sf_dir))
+    return _as_text(Q.two_step_paths(load_edges(spark, sf_dir), k=PAIR_K))
 
 
-@register("q9_same_referer", with_fixture(
-    _LISTS + "SELECT t1.prev AS prev, t1.curr AS out_curr, t1.type AS out_type, t1.n AS out_n, "
-    "t2.curr AS in_curr, t2.type AS in_type, t2.n AS in_n FROM t1 JOIN t2 ON t1.prev = t2.prev"))
+@register("q9_same_referer", _pair_sql("prev", "prev", "prev"))
 def q9_same_referer(spark, sf_dir):
-    return Q.same_referer(load_edges(spark, sf_dir))
+    return _as_text(Q.same_referer(load_edges(spark, sf_dir), k=PAIR_K))
 
 
 EDGES_WHERE_PREDICATE = "type = 'link' AND n > 1"
@@ -206,25 +221,25 @@ _EDGES_SQL = with_fixture("SELECT prev, curr, type, n FROM clickstream")
 def _staged_edges(spark, sf_dir, header=False):
     from navedge.session import scratch_path
     from navedge.sources.files import write_tsv
-    return write_tsv(load_edges(spark, sf_dir), scratch_path(spark, "edges-tsv"), header=header)
+    return write_tsv(load_edges(spark, sf_dir), scratch_path(spark, "edges-tsv"), header=header, escaped=True)
 
 
 @register("tsv_scan", _EDGES_SQL)
 def tsv_scan(spark, sf_dir):
     from navedge.sources.files import read_tsv
-    return read_tsv(spark, _staged_edges(spark, sf_dir))
+    return read_tsv(spark, _staged_edges(spark, sf_dir), escaped=True)
 
 
 @register("drop_header", _EDGES_SQL)
 def drop_header(spark, sf_dir):
     from navedge.sources.files import drop_header as dh, read_tsv
-    return dh(read_tsv(spark, _staged_edges(spark, sf_dir, header=True)))
+    return dh(read_tsv(spark, _staged_edges(spark, sf_dir, header=True), escaped=True))
 
 
 @register("text_scan", _EDGES_SQL)
 def text_scan(spark, sf_dir):
     from navedge.sources.files import read_text_edges
-    return read_text_edges(spark, _staged_edges(spark, sf_dir))
+    return read_text_edges(spark, _staged_edges(spark, sf_dir), escaped=True)
 
 
 def _messages(spark, sf_dir, fmt="tab"):
@@ -235,13 +250,13 @@ def _messages(spark, sf_dir, fmt="tab"):
 @register("parse_permissive", _CLICK_ROWS_SQL)
 def parse_permissive(spark, sf_dir):
     from navedge.functions.parse import parse_permissive as pp
-    return pp(_messages(spark, sf_dir))
+    return pp(_messages(spark, sf_dir), strip=False, escaped=True)
 
 
 @register("parse_strict", _CLICK_ROWS_SQL)
 def parse_strict(spark, sf_dir):
     from navedge.functions.parse import parse_strict as ps
-    return ps(_messages(spark, sf_dir))
+    return ps(_messages(spark, sf_dir), escaped=True)
 
 
 @register("parse_json", _CLICK_ROWS_SQL)
@@ -254,15 +269,14 @@ def parse_json(spark, sf_dir):
 def strip_markup(spark, sf_dir):
     """Messages whose every field carries a ``[<link kind>]:`` marker, parsed and cleaned."""
     from pyspark.sql import functions as F
-    from navedge.functions.parse import parse_permissive as pp
+    from navedge.functions.parse import escape_field, parse_permissive as pp
     from navedge.sources.files import write_text
     from navedge.session import scratch_path
-    mark = F.concat(F.lit("["), F.col("type"), F.lit("]:"))
+    mark = F.coalesce(F.concat(F.lit("["), F.col("type"), F.lit("]:")), F.lit("[none]:"))
     marked = load_clicks(spark, sf_dir).select(
-        F.concat_ws("\t", *[F.concat(mark, F.col(c).cast("string")) for c in S.EDGE_COLUMNS])
-        .alias("value"))
+        F.concat_ws("\t", *[F.concat(mark, escape_field(c)) for c in S.EDGE_COLUMNS]).alias("value"))
     path = write_text(marked, scratch_path(spark, "messages-marked"))
-    return pp(spark.read.text(path), strip=True)
+    return pp(spark.read.text(path), strip=True, escaped=True)
 
 
 @register("encode_message", with_fixture(
@@ -273,8 +287,17 @@ def encode_message(spark, sf_dir):
     return em(load_clicks(spark, sf_dir))
 
 
+def _escaped_sql(col: str) -> str:
+    """The escaped wire form of a text column."""
+    inner = f"replace({col}, '\\', '\\\\')"
+    for code, letter in ((9, "t"), (10, "n"), (13, "r")):
+        inner = f"replace({inner}, chr({code}), '\\{letter}')"
+    return f"CASE WHEN {col} IS NULL THEN '\\N' WHEN {col} = '' THEN '\\E' ELSE {inner} END"
+
+
 @register("token_counts", with_fixture(
-    ", m AS (SELECT prev || chr(9) || curr || chr(9) || type || chr(9) || CAST(n AS VARCHAR) AS v "
+    ", m AS (SELECT " + " || chr(9) || ".join(
+        f"({_escaped_sql(c)})" for c in ("prev", "curr", "type", "CAST(n AS VARCHAR)")) + " AS v "
     "FROM clicks) SELECT value, COUNT(*) AS count FROM "
     "(SELECT unnest(string_split(v, chr(9))) AS value FROM m) GROUP BY value"))
 def token_counts(spark, sf_dir):
@@ -282,12 +305,21 @@ def token_counts(spark, sf_dir):
     return tc(_messages(spark, sf_dir), "value", "\t")
 
 
-def _sql_surface_oracle():
-    from navedge.plans.sql_surface import stacked_oracle_sql
-    return with_fixture(stacked_oracle_sql())
+def _stacked_sql() -> str:
+    """Questions 1-4 one below the other, written apart from the statements under test."""
+    asked = (("q1", "curr", S.DEFAULT_TOP_ARTICLES_K, "TRUE"), ("q2", "prev", S.DEFAULT_TOP_REFERERS_K, "TRUE"),
+             ("q3", "curr", S.DEFAULT_FROM_REFERER_K, f"prev = '{S.DEFAULT_REFERER}'"),
+             ("q4", "curr", S.DEFAULT_MISSING_PAGES_K, f"type = '{S.DEFAULT_MISSING_TYPE}'"))
+    ranked = " UNION ALL ".join(
+        f"SELECT '{q}' AS question, {k} AS most, {key} AS label, CAST(SUM(n) AS BIGINT) AS total FROM clickstream WHERE {only} GROUP BY {key}"
+        for q, key, k, only in asked)
+    return with_fixture(
+        f", sums AS ({ranked}), places AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY question "
+        f"ORDER BY total DESC NULLS LAST, {_ord('label')}) AS place FROM sums) "
+        "SELECT question, label, total FROM places WHERE place <= most")
 
 
-@register("sql_surface", _sql_surface_oracle())
+@register("sql_surface", _stacked_sql())
 def sql_surface(spark, sf_dir):
     from navedge.plans.sql_surface import stacked_questions
     return stacked_questions(load_edges(spark, sf_dir))
@@ -318,14 +350,17 @@ def replace_into(spark, sf_dir):
     half, replaced into it by key. The result must equal a full rebuild."""
     from pyspark.sql import functions as F
     from navedge.operators.keyed import replace_into as ri
-    from navedge.sources.events import clickstream, read_events
+    from navedge.sources.events import read_events
     rows = load_clicks(spark, sf_dir)
     # the period's bounds: two scalars from the ``ts`` column alone
     lo, hi = read_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
-    cutoff = F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
-    target = clickstream(rows.where(F.col("ts") < cutoff))
-    touched = rows.where(F.col("ts") >= cutoff).select(*S.KEY_COLUMNS).distinct()
-    batch = clickstream(rows).join(touched, on=S.KEY_COLUMNS, how="left_semi")
+    early = F.col("ts") < F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
+    # Both tables from one sum per edge.
+    sums = rows.groupBy(*S.KEY_COLUMNS).agg(
+        F.sum(F.when(early, F.col(S.N))).cast("bigint").alias("before"), F.count_if(early).alias("early"),
+        F.sum(S.N).cast("bigint").alias(S.N), F.count_if(~early).alias("late"))
+    target = sums.where("early > 0").select(*S.KEY_COLUMNS, F.col("before").alias(S.N))
+    batch = sums.where("late > 0").select(*S.EDGE_COLUMNS)
     return ri(target, batch, S.KEY_COLUMNS)
 
 
@@ -336,15 +371,6 @@ def replace_into(spark, sf_dir):
 STREAM_BATCHES = 4
 
 
-def _stream_session(spark, sf_dir):
-    """Stream keys run in a child session whose shuffle (and so state) partition
-    count follows the input: one per million events, at most the session's."""
-    from navedge.session import session_with_partitions, sized_partitions
-    from navedge.sources.events import read_events
-    rows = read_events(spark, sf_dir).count()  # from Parquet footers
-    return session_with_partitions(spark, sized_partitions(spark, rows))
-
-
 def _stream_files(spark):
     """At least one staged file per intended micro-batch."""
     from navedge.session import default_parallelism
@@ -359,19 +385,29 @@ def _message_stream(spark, sf_dir, fmt="tab"):
 
 def _parsed_stream(spark, sf_dir, fmt="tab"):
     from navedge.streaming.engine import parse_messages
-    return parse_messages(_message_stream(spark, sf_dir, fmt), fmt)
+    return parse_messages(_message_stream(spark, sf_dir, fmt), fmt, escaped=True)
 
 
-def _stream_answer(spark, sf_dir, name, fn, fmt="json"):
-    from navedge.streaming.engine import await_done, edge_totals, latest_answer, run_answers
-    q, out = run_answers(edge_totals(_parsed_stream(spark, sf_dir, fmt)), {name: fn}, name=None)
+def _stream_answer(spark, sf_dir, name, question, fmt="json"):
+    """A question run directly as a complete-mode sorted streaming aggregate: its filter sits below the
+    state, and the state's key is the answer's column."""
+    from navedge.streaming.engine import await_done, latest_answer, run_answers
+    q, out = run_answers(question(_parsed_stream(spark, sf_dir, fmt)), {name: lambda batch: batch})
     await_done(q)
     return latest_answer(spark, out, name)
 
 
+def _stream_edges_of(spark, sf_dir, fmt="tab", only=None):
+    """Current edge totals through the change log: each batch writes the edges it changed."""
+    from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
+    rows = _parsed_stream(spark, sf_dir, fmt)
+    q, log = run_change_log(edge_totals(rows if only is None else rows.where(only)))
+    await_done(q)
+    return current_edges(spark, log)
+
+
 @register("stream_edges", _CLICK_ROWS_SQL)
 def stream_edges(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
     from navedge.streaming.engine import await_done, run_append
     q, path = run_append(_parsed_stream(spark, sf_dir, "tab"))
     await_done(q)
@@ -380,30 +416,21 @@ def stream_edges(spark, sf_dir):
 
 @register("stream_top_articles", ORACLE["q1_top_articles"])
 def stream_top_articles(spark, sf_dir):
-    """Question 1 run directly as a complete-mode sorted streaming aggregate."""
-    spark = _stream_session(spark, sf_dir)
-    from navedge.streaming.engine import await_done, latest_answer, run_answers
-    top = Q.top_articles(_parsed_stream(spark, sf_dir, "tab"))
-    q, out = run_answers(top, {"q1": lambda b: b})
-    await_done(q)
-    return latest_answer(spark, out, "q1")
+    return _stream_answer(spark, sf_dir, "q1", Q.top_articles, "tab")
 
 
 @register("stream_top_referers", ORACLE["q2_top_referers"])
 def stream_top_referers(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q2", Q.top_referers)
 
 
 @register("stream_top_from_referer", ORACLE["q3_top_from_referer"])
 def stream_top_from_referer(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q3", Q.top_from_referer)
 
 
 @register("stream_missing_pages", ORACLE["q4_missing_pages"])
 def stream_missing_pages(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
     return _stream_answer(spark, sf_dir, "q4", Q.missing_pages)
 
 
@@ -412,11 +439,10 @@ def stream_inflow_outflow(spark, sf_dir):
     """A whole-table answer through the large-state route: the stream writes only
     the edges each batch changed, and the answer is computed on read from the
     latest row of every edge."""
-    spark = _stream_session(spark, sf_dir)
-    from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
-    q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "tab")))
-    await_done(q)
-    return Q.inflow_outflow(current_edges(spark, log))
+    return Q.inflow_outflow(_stream_edges_of(spark, sf_dir))
+
+
+_TOUCHES_ARTICLE = f"curr LIKE '{S.DEFAULT_ARTICLE_PATTERN}' OR prev LIKE '{S.DEFAULT_ARTICLE_PATTERN}'"
 
 
 def _article_edges(edges):
@@ -430,22 +456,22 @@ def _article_edges(edges):
     f", t2 AS ({_INTO}), t1 AS ({_OUT}) SELECT 'q7' AS question, prev, curr, type, n FROM t2 "
     "UNION ALL SELECT 'q8' AS question, prev, curr, type, n FROM t1"))
 def stream_article_edges(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
-    return _stream_answer(spark, sf_dir, "q7q8", _article_edges)
+    return _article_edges(_stream_edges_of(spark, sf_dir, "json", _TOUCHES_ARTICLE))
+
+
+@register("stream_union", ORACLE["q9_union"])
+def stream_union(spark, sf_dir):
+    """Question 9 on a stream."""
+    return Q.both_lists(_stream_edges_of(spark, sf_dir, "json", _TOUCHES_ARTICLE))
 
 
 @register("stream_update_replace", _EDGES_SQL)
 def stream_update_replace(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
-    from navedge.streaming.engine import await_done, current_edges, edge_totals, run_change_log
-    q, log = run_change_log(edge_totals(_parsed_stream(spark, sf_dir, "json")))
-    await_done(q)
-    return current_edges(spark, log)
+    return _stream_edges_of(spark, sf_dir, "json")
 
 
 @register("stream_window_counts", WINDOW_ORACLE_SQL)
 def stream_window_counts(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
     from pyspark.sql import functions as F
     from navedge.session import scratch_path
     from navedge.sinks.versioned import read_latest_per_key
@@ -472,9 +498,8 @@ def stream_window_counts(spark, sf_dir):
 
 @register("stream_fanout", _CLICK_ROWS_SQL)
 def stream_fanout(spark, sf_dir):
-    spark = _stream_session(spark, sf_dir)
+    from navedge.sources.files import read_csv
     from navedge.streaming.engine import await_done, run_fanout
     q, csv_path, _ = run_fanout(_parsed_stream(spark, sf_dir, "tab"))
     await_done(q)
-    return (spark.read.schema(S.EDGE_SCHEMA).option("header", "true").csv(csv_path)
-            .select(*S.EDGE_COLUMNS))
+    return read_csv(spark, csv_path).select(*S.EDGE_COLUMNS)

@@ -16,10 +16,6 @@ from navedge import schema as S
 from navedge.operators.aggregate import sorted_desc, sum_by, top_k
 from navedge.operators.flow import flow_join, flow_one_pass
 
-# Largest k for the joined forms of question 9. They join two k-row lists on
-# equality, so their output stays bounded whatever the size of the edge table.
-MAX_PAIR_K = 1000
-
 
 def _top_sum(edges: DataFrame, key: str, names: tuple[str, str], k: int) -> DataFrame:
     label, total = names
@@ -106,16 +102,6 @@ def both_lists(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
     return union_distinct(out_of_article(edges, pattern, k), into_article(edges, pattern, k))
 
 
-def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*[F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in df.columns])
-
-
-def _pair_inputs(edges: DataFrame, pattern: str, k: int) -> tuple[DataFrame, DataFrame]:
-    if int(k) > MAX_PAIR_K:
-        raise ValueError(f"k={k}: pairwise forms are defined on top-k lists, k <= {MAX_PAIR_K}")
-    return into_article(edges, pattern, k), out_of_article(edges, pattern, k)
-
-
 def _ranked(top: DataFrame, prefix: str) -> DataFrame:
     """Rank 1..k of a top-k list, in the list's own order.
 
@@ -137,27 +123,49 @@ def both_lists_side_by_side(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_P
     This is question 9's "both lists together" without a cross product: one
     row per rank, at most k rows.
     """
-    into, out = _pair_inputs(edges, pattern, k)
-    i, o = _ranked(into, "in_"), _ranked(out, "out_")
+    i, o = _ranked(into_article(edges, pattern, k), "in_"), _ranked(out_of_article(edges, pattern, k), "out_")
     return i.join(o, on="rank", how="full_outer")
 
 
+def _gathered(top: DataFrame, key: str, alias: str, name: str) -> DataFrame:
+    """One row per ``key`` with its edges of a top-k list as an array, strongest first.
+
+    Both list columns of an edge stay, so an array element is a whole edge.
+    """
+    order = []
+    for c in ("n", *S.KEY_COLUMNS):
+        order += [F.col(c).isNull().alias(f"{c}_null"), (-F.col(c) if c == "n" else F.col(c)).alias(f"{c}_key")]
+    edge = F.struct(*order, F.struct(*S.EDGE_COLUMNS).alias("edge"))
+    return top.groupBy(F.col(key).alias(alias)).agg(
+        F.transform(F.sort_array(F.collect_list(edge)), lambda x: x["edge"]).alias(name))
+
+
 def two_step_paths(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
                    k: int = S.DEFAULT_ARTICLE_EDGES_K) -> DataFrame:
-    """Paths ``in_prev -> article -> out_curr`` joining the two top-k lists on
-    out-edge referrer = in-edge target."""
-    into, out = _pair_inputs(edges, pattern, k)
-    o, i = _prefixed(out, "out_"), _prefixed(into, "in_")
-    return o.join(F.broadcast(i), o["out_prev"] == i["in_curr"], "inner")
+    """Paths through an article: ``article, in_edges, out_edges``.
+
+    One row per article that ends an edge of the in-list and starts one of the
+    out-list. Every in-edge of a row continues with every out-edge, so the two
+    arrays say all paths in at most 2k items; pairs are not written out.
+    """
+    into = _gathered(into_article(edges, pattern, k), "curr", "article", "in_edges")
+    out = _gathered(out_of_article(edges, pattern, k), "prev", "article", "out_edges")
+    return into.join(out, on="article", how="inner")
 
 
 def same_referer(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
                  k: int = S.DEFAULT_ARTICLE_EDGES_K) -> DataFrame:
-    """Out-list and in-list rows that share the referrer ``prev``."""
-    into, out = _pair_inputs(edges, pattern, k)
-    o = _prefixed(out, "out_", keep=("prev",))
-    i = _prefixed(into, "in_", keep=("prev",))
-    return o.join(F.broadcast(i), on="prev", how="inner")
+    """Referrers that both lists share: ``prev, in_edges, out_edges``, one row each."""
+    into = _gathered(into_article(edges, pattern, k), "prev", "prev", "in_edges")
+    out = _gathered(out_of_article(edges, pattern, k), "prev", "prev", "out_edges")
+    return into.join(out, on="prev", how="inner")
+
+
+def edge_text(array):
+    """An array of edges as text: ``prev>curr:type:n`` joined by ``; `` (null prints as ``null``)."""
+    part = lambda x, c: F.coalesce(x[c].cast("string"), F.lit("null"))
+    return F.array_join(F.transform(array, lambda x: F.concat(
+        part(x, "prev"), F.lit(">"), part(x, "curr"), F.lit(":"), part(x, "type"), F.lit(":"), part(x, "n"))), "; ")
 
 
 def edges_where(edges: DataFrame, predicate: str) -> DataFrame:
@@ -166,17 +174,18 @@ def edges_where(edges: DataFrame, predicate: str) -> DataFrame:
 
 
 def all_questions(referer: str = S.DEFAULT_REFERER, link_type: str = S.DEFAULT_MISSING_TYPE,
-                  article: str = S.DEFAULT_ARTICLE, pattern: str = S.DEFAULT_ARTICLE_PATTERN
-                  ) -> dict[str, callable]:
-    """Every question as ``name -> (edges -> DataFrame)``, with its parameters bound."""
+                  article: str = S.DEFAULT_ARTICLE, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
+                  k: int | None = None) -> dict[str, callable]:
+    """Every question as ``name -> (edges -> DataFrame)``, with its parameters bound; ``k`` replaces each default."""
+    size = {} if k is None else {"k": int(k)}
     return {
-        "top_articles": lambda e: top_articles(e),
-        "top_referers": lambda e: top_referers(e),
-        "top_from_referer": lambda e: top_from_referer(e, referer),
-        "missing_pages": lambda e: missing_pages(e, link_type),
-        "inflow_outflow": lambda e: inflow_outflow(e),
+        "top_articles": lambda e: top_articles(e, **size),
+        "top_referers": lambda e: top_referers(e, **size),
+        "top_from_referer": lambda e: top_from_referer(e, referer, **size),
+        "missing_pages": lambda e: missing_pages(e, link_type, **size),
+        "inflow_outflow": inflow_outflow,
         "article_flow": lambda e: article_flow(e, article),
-        "into_article": lambda e: into_article(e, pattern),
-        "out_of_article": lambda e: out_of_article(e, pattern),
-        "both_lists": lambda e: both_lists(e, pattern),
+        "into_article": lambda e: into_article(e, pattern, **size),
+        "out_of_article": lambda e: out_of_article(e, pattern, **size),
+        "both_lists": lambda e: both_lists(e, pattern, **size),
     }

@@ -1,39 +1,49 @@
 """Questions 1-4 as SQL text over a named view of the edge table.
 
-Users of the original ran the questions as ``spark.sql`` text against a view
-``clickQuery``; this keeps that surface. Spark resolves ``GROUP BY`` on a
-select alias. The four answers come back stacked as
-``question, label, total``.
+Users of the original ran such questions as ``spark.sql`` text. One builder
+makes the four statements; they group by the select alias, and every value
+(filter, number of rows) is a bound parameter, never part of the text.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from navedge import schema as S
 
-QUESTION_SQL = {
-    "q1": """SELECT curr AS Current_title, CAST(SUM(n) AS BIGINT) AS Top_Articles
-             FROM {view} GROUP BY Current_title
-             ORDER BY Top_Articles DESC NULLS LAST, Current_title ASC NULLS LAST LIMIT {k1}""",
-    "q2": """SELECT prev AS Referers, CAST(SUM(n) AS BIGINT) AS Number_of_times_refered
-             FROM {view} GROUP BY Referers
-             ORDER BY Number_of_times_refered DESC NULLS LAST, Referers ASC NULLS LAST LIMIT {k2}""",
-    "q3": """SELECT curr AS Top_articles_In_Twitter, CAST(SUM(n) AS BIGINT) AS Number_of_times_refered
-             FROM {view} WHERE prev = '{referer}' GROUP BY curr
-             ORDER BY Number_of_times_refered DESC NULLS LAST, Top_articles_In_Twitter ASC NULLS LAST
-             LIMIT {k3}""",
-    "q4": """SELECT curr AS Top_missing_pages, CAST(SUM(n) AS BIGINT) AS Number_of_times_refered
-             FROM {view} WHERE type = '{link_type}' GROUP BY curr
-             ORDER BY Number_of_times_refered DESC NULLS LAST, Top_missing_pages ASC NULLS LAST
-             LIMIT {k4}""",
-}
-
-DEFAULTS = dict(k1=S.DEFAULT_TOP_ARTICLES_K, k2=S.DEFAULT_TOP_REFERERS_K,
-                k3=S.DEFAULT_FROM_REFERER_K, k4=S.DEFAULT_MISSING_PAGES_K,
-                referer=S.DEFAULT_REFERER, link_type=S.DEFAULT_MISSING_TYPE)
+
+@dataclass(frozen=True)
+class TopSum:
+    """The ``k`` greatest sums of ``n`` by one column, over edges whose ``where`` column has a value."""
+
+    key: str
+    names: tuple[str, str]
+    k: int
+    where: str | None = None
+    value: str | None = None
+
+    def text(self, view: str) -> str:
+        label, total = self.names
+        return " ".join([
+            f"SELECT {self.key} AS {label}, CAST(SUM(n) AS BIGINT) AS {total} FROM {view}",
+            f"WHERE {self.where} = :value" if self.where else "",
+            f"GROUP BY {label} ORDER BY {total} DESC NULLS LAST, {label} ASC NULLS LAST LIMIT :k"])
+
+    def args(self) -> dict:
+        return {"k": self.k, **({"value": self.value} if self.where else {})}
+
+
+def statements(referer: str = S.DEFAULT_REFERER, link_type: str = S.DEFAULT_MISSING_TYPE,
+               k: int | None = None) -> dict[str, TopSum]:
+    return {
+        "q1": TopSum("curr", S.Q1_COLUMNS, k or S.DEFAULT_TOP_ARTICLES_K),
+        "q2": TopSum("prev", S.Q2_COLUMNS, k or S.DEFAULT_TOP_REFERERS_K),
+        "q3": TopSum("curr", S.Q3_COLUMNS, k or S.DEFAULT_FROM_REFERER_K, "prev", referer),
+        "q4": TopSum("curr", S.Q4_COLUMNS, k or S.DEFAULT_MISSING_PAGES_K, "type", link_type),
+    }
 
 
 def register_view(edges: DataFrame, name: str | None = None) -> str:
@@ -43,34 +53,20 @@ def register_view(edges: DataFrame, name: str | None = None) -> str:
 
 
 def question_sql(edges: DataFrame, question: str, view: str | None = None, **params) -> DataFrame:
-    view = view or register_view(edges)
-    return edges.sparkSession.sql(QUESTION_SQL[question].format(view=view, **{**DEFAULTS, **params}))
+    statement = statements(**params)[question]
+    return edges.sparkSession.sql(statement.text(view or register_view(edges)), args=statement.args())
 
 
 def stacked_questions(edges: DataFrame, **params) -> DataFrame:
     """``question, label, total`` for questions 1-4, run as SQL text."""
     view = register_view(edges)
-    parts = []
-    for q in ("q1", "q2", "q3", "q4"):
+    out = None
+    for q in statements(**params):
         df = question_sql(edges, q, view, **params)
         label, total = df.columns
-        parts.append(df.selectExpr(f"'{q}' AS question", f"{label} AS label", f"{total} AS total"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
+        part = df.selectExpr(f"'{q}' AS question", f"{label} AS label", f"{total} AS total")
+        out = part if out is None else out.unionAll(part)
     # the SQL text is analysed already (the view's plan is inlined), so the
     # session catalog need not keep one view per call
     edges.sparkSession.catalog.dropTempView(view)
     return out
-
-
-def stacked_oracle_sql(**params) -> str:
-    """The DuckDB text of ``stacked_questions`` over ``clickstream``."""
-    vals = {**DEFAULTS, **params}
-    parts = []
-    for q in ("q1", "q2", "q3", "q4"):
-        body = QUESTION_SQL[q].format(view="clickstream", **vals)
-        parts.append(f"SELECT '{q}' AS question, * FROM ({body}) AS {q}_t")
-    cols = "question, label, total"
-    return " UNION ALL ".join(
-        f"SELECT {cols} FROM (SELECT * FROM ({p}) AS x(question, label, total))" for p in parts)

@@ -9,7 +9,6 @@ EDGE_COLUMNS = [PREV, CURR, TYPE, N]
 KEY_COLUMNS = [PREV, CURR, TYPE]
 # The message path of the original names the third column ``link``; the file
 # path names it ``type``. ``type`` is canonical, ``link`` is accepted on input.
-TYPE_ALIASES = ("type", "link")
 
 EDGE_SCHEMA = T.StructType([
     T.StructField(PREV, T.StringType(), True),

@@ -69,19 +69,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_dir(path)) or ".", exist_ok=True)
-
-
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
                scan_split_bytes: int = 512 << 20) -> dict[str, str]:
     """Settings sized from the input, for ``spark-submit --conf`` on a cluster.
@@ -98,33 +85,3 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
     }
-
-
-# Runtime settings a child session copies from its parent.
-_INHERITED = (
-    "spark.sql.session.timeZone", "spark.sql.ansi.enabled",
-    "spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
-    "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-    "spark.sql.streaming.stateStore.providerClass",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-    "spark.sql.files.maxPartitionBytes",
-)
-
-
-def sized_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> int:
-    """Partitions for ``rows`` rows: one per ``rows_per_partition``, at most the
-    session's shuffle partitions."""
-    return max(1, min(default_parallelism(spark), -(-int(rows) // rows_per_partition)))
-
-
-def session_with_partitions(spark: SparkSession, partitions: int) -> SparkSession:
-    """A session sharing the cluster and catalog-free settings of ``spark`` but
-    with its own shuffle partition count, which a streaming query fixes as its
-    state partition count at first start. The parent session is not changed."""
-    child = spark.newSession()
-    for key in _INHERITED:
-        value = spark.conf.get(key, None)
-        if value is not None:
-            child.conf.set(key, value)
-    child.conf.set("spark.sql.shuffle.partitions", str(int(partitions)))
-    return child

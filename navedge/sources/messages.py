@@ -18,9 +18,11 @@ SUBSCRIPTION_KINDS = ("assign", "subscribe", "subscribePattern")
 
 
 def kafka_options(bootstrap_servers: str, subscribe_type: str, topics: str,
-                  starting_offsets: str = "earliest", fail_on_data_loss: bool = False,
+                  starting_offsets: str = "earliest", fail_on_data_loss: bool = True,
+                  max_offsets_per_trigger: int | None = None,
                   extra: dict[str, str] | None = None) -> dict[str, str]:
-    """Source options for one subscription; exactly one kind is allowed."""
+    """Source options for one subscription; exactly one kind is allowed. Lost offsets fail the query unless
+    ``fail_on_data_loss`` is off."""
     if subscribe_type not in SUBSCRIPTION_KINDS:
         raise ValueError(f"subscribe type must be one of {SUBSCRIPTION_KINDS}, got {subscribe_type!r}")
     if not bootstrap_servers or not topics:
@@ -31,6 +33,8 @@ def kafka_options(bootstrap_servers: str, subscribe_type: str, topics: str,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     opts.update(extra or {})
     return opts
 
@@ -57,8 +61,8 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None,
-                   files: int | None = None) -> str:
-    """Write click rows as message lines into ``files`` files (default: the
+                   files: int | None = None, escaped: bool = True) -> str:
+    """Write click rows as message lines (tab form: escaped by default) into ``files`` files (default: the
     session's parallelism).
 
     Round-robin, not hashed on a key: files stay equal in size even when one
@@ -71,7 +75,7 @@ def stage_messages(clicks: DataFrame, fmt: str = "tab", path: str | None = None,
     rows = clicks.repartition(n)
     if "event_id" in clicks.columns:
         rows = rows.sortWithinPartitions("event_id")
-    write_text(tab_message(rows) if fmt == "tab" else json_message(rows), path)
+    write_text(tab_message(rows, escaped=escaped) if fmt == "tab" else json_message(rows), path)
     return path
 
 

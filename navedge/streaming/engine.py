@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from navedge import schema as S
 from navedge.functions.parse import parse_json, parse_permissive, parse_strict
 from navedge.session import scratch_path
+from navedge.sources.files import write_csv
 from navedge.sinks.versioned import (read_latest_per_key, read_latest_snapshot,
                                      write_version)
 
@@ -38,13 +39,13 @@ Answer = Callable[[DataFrame], DataFrame]
 
 # Parsing and state -----------------------------------------------------------
 def parse_messages(raw: DataFrame, fmt: str = "tab", strict: bool = False,
-                   column: str = "value") -> DataFrame:
-    """Edge rows from a message stream (Kafka ``value`` bytes or text lines)."""
+                   column: str = "value", escaped: bool = False) -> DataFrame:
+    """Edge rows from a message stream (Kafka ``value`` bytes or text lines; ``escaped``: see ``escape_field``)."""
     if fmt == "json":
         return parse_json(raw, column, strict=strict)
     if strict:
-        return parse_strict(raw, column)
-    return parse_permissive(raw, column)
+        return parse_strict(raw, column, escaped=escaped)
+    return parse_permissive(raw, column, escaped=escaped)
 
 
 def edge_totals(edges: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def answers_handler(answers: dict[str, Answer], out_root: str):
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, fn in answers.items():
-                write_version(fn(batch), f"{out_root}/{name}", batch_id)
+                write_version(fn(batch), f"{out_root}/{name}", batch_id, commit=True)
         finally:
             batch.unpersist()
     return handle
@@ -91,7 +92,7 @@ def answers_handler(answers: dict[str, Answer], out_root: str):
 
 def change_log_handler(path: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, path, batch_id)
+        write_version(batch, path, batch_id, commit=True)
     return handle
 
 
@@ -137,9 +138,8 @@ def fanout_handler(csv_path: str, parquet_path: str, jdbc_write=None):
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (batch.write.mode("overwrite").option("header", "true")
-             .csv(f"{csv_path.rstrip('/')}/batch_id={int(batch_id)}"))
-            write_version(batch, parquet_path, batch_id)
+            write_csv(batch, f"{csv_path.rstrip('/')}/batch_id={int(batch_id)}")
+            write_version(batch, parquet_path, batch_id, commit=True)
             if jdbc_write is not None:
                 jdbc_write(batch, batch_id)
         finally:
@@ -160,9 +160,11 @@ def run_fanout(rows: DataFrame, csv_path: str | None = None, parquet_path: str |
 
 
 def run_console(df: DataFrame, mode: str = "append", truncate: bool = False,
-                trigger: str | None = None) -> StreamingQuery:
+                trigger: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Print each micro-batch (``format("console")``), for inspection only."""
     w = df.writeStream.format("console").outputMode(mode).option("truncate", str(truncate).lower())
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
     if trigger and trigger != "availableNow":
         w = w.trigger(processingTime=trigger)
     elif trigger == "availableNow":
@@ -170,6 +172,11 @@ def run_console(df: DataFrame, mode: str = "append", truncate: bool = False,
     return w.start()
 
 
+def await_any(spark: SparkSession, timeout_sec: float | None = None) -> bool | None:
+    """Wait until any query of the session ends, or for the timeout; a failed query raises."""
+    return spark.streams.awaitAnyTermination() if timeout_sec is None else spark.streams.awaitAnyTermination(timeout_sec)
+
+
 # Reading results back --------------------------------------------------------
 def latest_answer(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{out_root}/{name}")

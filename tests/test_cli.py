@@ -28,10 +28,10 @@ def test_stream_command_on_files(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "answers")
     code = main(["stream", "--source-dir", src, os.path.join(tmpdir_path, "ckpt"), "--out", out,
                  "--trigger", "availableNow", "--max-files-per-trigger", "1",
-                 "--message-format", "strict"])
+                 "--message-format", "strict", "--route", "complete", "--k", "3"])
     assert code == 0
     edges = clickstream(clicks)
-    assert rows(read_latest_snapshot(spark, f"{out}/top_referers")) == rows(Q.top_referers(edges))
+    assert rows(read_latest_snapshot(spark, f"{out}/top_referers")) == rows(Q.top_referers(edges, 3))
     assert rows(read_latest_snapshot(spark, f"{out}/article_flow")) == rows(Q.article_flow(edges))
 
 
@@ -60,3 +60,18 @@ def test_conf_command(capsys):
     assert main(["conf", "--input-bytes", "100T", "--cores", "8000"]) == 0
     out = capsys.readouterr().out.splitlines()
     assert "--conf spark.sql.shuffle.partitions=409600" in out
+
+
+def test_append_fanout_and_console_routes(spark, tmpdir_path, capfd):
+    from navedge.sources.files import read_csv
+    clicks = load_clicks(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "msgs")
+    tab_message(clicks.repartition(3), escaped=True).write.text(src)
+    want = rows(clicks.select("prev", "curr", "type", "n"))
+    at = lambda *parts: os.path.join(tmpdir_path, *parts)
+    common = ["--trigger", "availableNow", "--escaped"]
+    assert main(["stream", "--source-dir", src, at("k1"), "--out", at("a"), "--route", "append", *common]) == 0
+    assert rows(spark.read.parquet(at("a")).select("prev", "curr", "type", "n")) == want
+    assert main(["stream", "--source-dir", src, at("k2"), "--out", at("f"), "--route", "fanout", *common]) == 0
+    assert rows(read_csv(spark, at("f", "csv")).select("prev", "curr", "type", "n")) == want
+    assert main(["stream", "--source-dir", src, at("k3"), "--route", "console", *common]) == 0

@@ -5,7 +5,7 @@ import os
 from conftest import rows
 from navedge import schema as S
 from navedge.session import checkpoint_root, scale_conf, scratch_path
-from navedge.sinks.versioned import compact_log, read_latest_per_key, write_version
+from navedge.sinks.versioned import committed, compact_log, read_latest_per_key, read_latest_snapshot, write_version
 from navedge.sources.files import read_tsv, read_tsv_inferred
 
 
@@ -14,9 +14,24 @@ def test_compact_log_equals_latest(spark, tmpdir_path):
     mk = lambda data: spark.createDataFrame(data, S.EDGE_SCHEMA)
     write_version(mk([("a", "b", "l", 1), ("c", "d", "l", 1)]), log, 0)
     write_version(mk([("a", "b", "l", 5)]), log, 1)
-    out = compact_log(spark, log, S.KEY_COLUMNS, 1, os.path.join(tmpdir_path, "compact"))
-    got = read_latest_per_key(spark, out, S.KEY_COLUMNS).select(*S.EDGE_COLUMNS)
-    assert rows(got) == [("a", "b", "l", 5), ("c", "d", "l", 1)]
+    assert compact_log(spark, log, S.KEY_COLUMNS) == 1
+    write_version(mk([("c", "d", "l", 9)]), log, 2)  # the stream goes on
+    got = read_latest_per_key(spark, log, S.KEY_COLUMNS).select(*S.EDGE_COLUMNS)
+    assert rows(got) == [("a", "b", "l", 5), ("c", "d", "l", 9)]
+    assert compact_log(spark, log, S.KEY_COLUMNS) == 2
+    assert rows(read_latest_per_key(spark, log, S.KEY_COLUMNS).select(*S.EDGE_COLUMNS)) == rows(got)
+
+
+def test_newest_answer_may_be_empty_and_unfinished_batches_stay_hidden(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "snap")
+    mk = lambda data: spark.createDataFrame(data, S.EDGE_SCHEMA)
+    write_version(mk([("a", "b", "l", 1)]), path, 0)
+    write_version(mk([]), path, 1)
+    assert read_latest_snapshot(spark, path).count() == 0
+    write_version(mk([("x", "y", "l", 7)]), path, 2, commit=False)
+    assert committed(spark, path) == [0, 1]
+    assert read_latest_snapshot(spark, path).count() == 0
+    assert rows(read_latest_per_key(spark, path, S.KEY_COLUMNS).select(*S.EDGE_COLUMNS)) == [("a", "b", "l", 1)]
 
 
 def test_scale_conf():
@@ -36,9 +51,10 @@ def test_corrupt_record_column(spark, tmpdir_path):
 
 def test_inferred_scan(spark, tmpdir_path):
     with open(os.path.join(tmpdir_path, "e.tsv"), "w") as f:
-        f.write("a\tb\tlink\t3\n")
+        f.write('"a\tb\tlink\t3\nc\td"\tlink\t4\n')
     df = read_tsv_inferred(spark, tmpdir_path)
-    assert [t for _, t in df.dtypes] == ["string", "string", "string", "int"]
+    assert [t for _, t in df.dtypes] == ["string", "string", "string", "bigint"]
+    assert sorted(r[0] for r in df.collect()) == ['"a', "c"]
 
 
 def test_scratch_under_checkpoint_root(spark):
@@ -53,15 +69,3 @@ def test_corrupt_column_leaves_shared_schema_alone(spark, tmpdir_path):
         f.write("a\tb\tlink\t3\n")
     read_tsv(spark, tmpdir_path, corrupt_column="_bad")
     assert S.EDGE_SCHEMA.fieldNames() == S.EDGE_COLUMNS
-
-
-def test_child_session_leaves_parent_alone(spark):
-    from navedge.session import session_with_partitions, sized_partitions
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    child = session_with_partitions(spark, 3)
-    assert child.conf.get("spark.sql.shuffle.partitions") == "3"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    assert child.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
-    assert sized_partitions(spark, 10) == 1
-    assert sized_partitions(spark, 10**12) == int(before)
-    assert sized_partitions(spark, 2_500_000) == min(3, int(before))

@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from navedge.operators.flow import flow_one_pass
 from navedge.plans import questions as Q
 from navedge.sources.events import load_edges
-import __spark_entry__ as E
+from navedge.plans.catalog import QUERIES
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
@@ -63,7 +63,7 @@ def test_lag_never_partitions_by_user_alone(spark):
             assert "_nv_slice" in line or "_nv_group" in line
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith("stream_")))
 def test_no_python_nodes(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(QUERIES[name](spark, SF_SMALL))
     assert not any(node in p for node in PYTHON_NODES)

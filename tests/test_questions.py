@@ -32,11 +32,21 @@ def test_top_k_ties_are_deterministic(spark):
     assert rows(Q.into_article(df, "x", k=2)) == [("a", "x", "l", 5), ("b", "x", "l", 5)]
 
 
-def test_pairwise_forms_are_bounded(spark):
-    import pytest
-    df = spark.createDataFrame([("a", "x", "l", 1)], "prev string, curr string, type string, n bigint")
-    with pytest.raises(ValueError):
-        Q.two_step_paths(df, "x", k=Q.MAX_PAIR_K + 1)
+def test_paths_grow_linearly_with_k(spark):
+    n = 1200
+    data = [(f"p{i}", "X", "l", i + 1) for i in range(n)] + [("X", f"c{i}", "l", i + 1) for i in range(n)]
+    df = spark.createDataFrame(data, "prev string, curr string, type string, n bigint")
+    for k in (10, 100, 1100):  # no limit on k
+        [row] = Q.two_step_paths(df, "X", k).collect()
+        assert row.article == "X" and len(row.in_edges) == len(row.out_edges) == k
+    assert [(e.prev, e.n) for e in row.in_edges[:2]] == [("p1199", 1200), ("p1198", 1199)]
+
+
+def test_same_referer_has_one_row_a_referer(spark):
+    data = [("a", "X", "l", 3), ("a", "X", "r", 2), ("X", "X", "l", 9), ("X", "c", "l", 1), (None, "X", "l", 1)]
+    df = spark.createDataFrame(data, "prev string, curr string, type string, n bigint")
+    [row] = Q.same_referer(df, "X", 10).collect()
+    assert row.prev == "X" and len(row.in_edges) == 1 and [e.curr for e in row.out_edges] == ["X", "c"]
 
 
 def test_side_by_side_keeps_longer_list(spark):

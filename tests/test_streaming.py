@@ -108,7 +108,9 @@ def test_window_stream_with_watermark(spark, tmpdir_path):
 def test_kafka_options():
     o = kafka_options("h:9092", "subscribe", "clickers")
     assert o == {"kafka.bootstrap.servers": "h:9092", "subscribe": "clickers",
-                 "startingOffsets": "earliest", "failOnDataLoss": "false"}
+                 "startingOffsets": "earliest", "failOnDataLoss": "true"}
+    o = kafka_options("h:9092", "assign", "{}", "latest", fail_on_data_loss=False, max_offsets_per_trigger=500)
+    assert (o["failOnDataLoss"], o["maxOffsetsPerTrigger"], o["startingOffsets"]) == ("false", "500", "latest")
     import pytest
     with pytest.raises(ValueError):
         kafka_options("h:9092", "topic", "clickers")
@@ -126,12 +128,31 @@ def test_staged_stream_runs_several_batches(spark):
     assert len(batches) >= 2
 
 
-def test_registered_stream_keys_run_several_batches(spark):
-    # stream keys run in a child session sized by the input (one partition at
-    # this scale); staging must still give several micro-batches
+def test_registered_stream_keys_run_several_batches_and_partitions(spark):
     from navedge.plans import catalog as C
-    child = C._stream_session(spark, SF_SMALL)
-    assert child.conf.get("spark.sql.shuffle.partitions") == "1"
-    q, _ = run_change_log(edge_totals(C._parsed_stream(child, SF_SMALL, "tab")))
+    q, _ = run_change_log(edge_totals(C._parsed_stream(spark, SF_SMALL, "tab")))
     await_done(q)
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 3
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] >= 4
+
+
+def test_question_filters_sit_below_the_state(spark):
+    from navedge.plans import catalog as C
+    for question, value in ((Q.top_from_referer, S.DEFAULT_REFERER), (Q.missing_pages, S.DEFAULT_MISSING_TYPE)):
+        plan = question(C._parsed_stream(spark, SF_SMALL, "json"))._jdf.queryExecution().analyzed().toString()
+        assert plan.index("Aggregate") < plan.index("Filter") and value in plan
+
+
+def test_await_any_times_out(spark):
+    from navedge.streaming.engine import await_any
+    spark.streams.resetTerminated()
+    assert await_any(spark, 0.1) is False
+
+
+def test_console_route(spark, tmpdir_path):
+    from navedge.streaming.engine import run_console
+    src = os.path.join(tmpdir_path, "c")
+    tab_message(load_clicks(spark, SF_SMALL).limit(5)).write.text(src)
+    q = run_console(parse_messages(text_stream(spark, src)), trigger="availableNow", checkpoint=os.path.join(tmpdir_path, "k"))
+    await_done(q)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 5
