@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe_chunks, exact_dedup, packing, secret_scan, simhash, token_store, topk, toxicity, url_filter
+from . import bpe_chunks, exact_dedup, html_extract, packing, secret_scan, simhash, token_store, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_token_store": token_store.op2_token_store,
     "op3_simhash": simhash.op3_simhash,
+    "op4_html": html_extract.op4_html,
     "op5_secrets": secret_scan.op5_secrets,
     "op6_topk": topk.op6_topk,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
