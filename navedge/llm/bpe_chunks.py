@@ -31,7 +31,7 @@ import types
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, staged, write_scratch
+from .common import bound_batches, read_table, slices, staged, write_scratch
 
 #: Characters of a chunk, and of the overlap of neighbours.
 CHUNK = 1 << 15
@@ -103,7 +103,7 @@ def _read_chunks(chunk: int, overlap: int):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             for row, doc, text in zip(*(batch.column(n).to_pylist() for n in ("row", "doc_id", "text"))):
                 parts = chunks_of(text, chunk, overlap)
                 for i in range(0, len(parts), 64):
@@ -123,7 +123,7 @@ def _report(path: str, pattern: str, overlap: int):
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for row, no, start, text in zip(*(batch.column(n).to_pylist() for n in ("row", "chunk_no", "start", "text"))):
                 at = [b for b in c.boundaries(text) if b and b <= len(text) - TAIL and not text[b - 1].isspace()]
@@ -181,7 +181,7 @@ def encode_long(texts: DataFrame, path: str, pattern: str, chunk: int, overlap:
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [c.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("piece"), pa.array(ids, pa.binary())],
                                              ["row", "doc_id", "piece", "ids"])
@@ -194,6 +194,7 @@ def encode_long(texts: DataFrame, path: str, pattern: str, chunk: int, overlap:
 def summaries(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
 
@@ -201,7 +202,7 @@ def summaries(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, over
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             out = [_summary(c, c.encode(x or "")) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_arrays(out)], _NAMES)
 
@@ -209,7 +210,7 @@ def summaries(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, over
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             out = [_summary(c, x) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_arrays(out)], _NAMES)
 

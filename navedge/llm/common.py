@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from navedge.session import scratch_path
 
+#: Rows that Spark hands to Python at a time, and bytes of texts that a pass works on at a time.
+BATCH_ROWS = 1000
+SLICE_BYTES = 2 << 20
 #: Rows that a checked broadcast may hold; beyond it the same join shuffles.
 BROADCAST_ROWS = 100_000
 
@@ -41,6 +44,22 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def strings(column) -> list[str]:
-    """Arrow string column as Python strings; null counts as empty."""
-    return [x if x is not None else "" for x in column.to_pylist()]
+def bound_batches(spark: SparkSession) -> None:
+    """Lower Spark's 10,000 rows a batch, too many for texts of any length; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def slices(batches, size_of: str = "text"):
+    """The record batches in parts of about SLICE_BYTES of one column, one row at least: memory doesn't grow with a batch."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(size_of)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = np.cumsum(sizes) // SLICE_BYTES
+        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)

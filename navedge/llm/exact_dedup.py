@@ -32,6 +32,8 @@ from .common import BROADCAST_ROWS, broadcast_if_small, staged, write_scratch
 
 #: Members that compare themselves with one copy of the held text.
 SALT_ROWS = 256
+#: Memory of all state stores of an executor.
+STATE_MB = 128
 #: Files of arrivals that one micro-batch takes.
 FILES_PER_TRIGGER = 1000
 
@@ -88,6 +90,8 @@ def run_state(spark: SparkSession, arrivals_path: str, schema, state_dir: str, l
     child.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     child.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STATE_MB))
     # Files as large as their content: each of many stores would set megabytes aside.
     child.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     state = (child.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(arrivals_path)

@@ -31,7 +31,7 @@ from html import unescape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import bound_batches, read_table, slices, staged
 
 #: Corpus pages that a fit reads at most, and the weight of a page of ``LABELLED`` against one of them.
 MAX_PAGES = 2000
@@ -277,6 +277,7 @@ def count(page: Page, labels: list[int], weight: int = 1) -> Counter:
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Model:
     """Potentials from ``LABELLED`` and at most ``max_pages`` pages of the corpus."""
+    bound_batches(pages.sparkSession)
     chosen = pages.where("html IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
     sample = pages.select("page_id", "html").join(F.broadcast(staged(chosen, "html-chosen")), "page_id").select("html")
 
@@ -284,7 +285,7 @@ def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Model:
         import pyarrow as pa
 
         total: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches, "html"):
             for html in batch.column("html").to_pylist():
                 page = parse(html or "")
                 if (labels := silver(page)) is not None:
@@ -311,7 +312,7 @@ def main_text(pages: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, "html"):
             texts = [extract(h or "", model) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

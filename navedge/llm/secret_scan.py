@@ -2,7 +2,7 @@
 
 From the syntax tree of each rule's regular expression a Boolean query over
 trigrams is derived: an AND of ORs that any matching text satisfies. Texts
-are indexed in shards, one for each Arrow batch of a task: the shard's bytes,
+are indexed in shards, one for each slice of an Arrow batch: the shard's bytes,
 in lower case, give all trigram codes at once; those that some rule asks for
 become postings (sorted document ordinals of the shard). A rule's query
 intersects and unites postings, and only the candidates are verified with the
@@ -27,7 +27,7 @@ from re import _parser as P
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import bound_batches, read_table, slices
 
 #: Alternatives of one literal run that a query spells out at most; beyond it the run ends.
 MAX_STRINGS = 64
@@ -251,7 +251,7 @@ def scan(docs: DataFrame, rules=RULES, base: int = len(BASE)) -> DataFrame:
         import pyarrow as pa
 
         prepared = prepare(rules)
-        for batch in batches:
+        for batch in slices(batches):
             found = find_spans([x or "" for x in batch.column("text").to_pylist()], rules, prepared)
             counts = [[sum(s[1] == k for s in spans) for spans in found] for k in range(base)]
             digests = [hashlib.sha256(_listed(s for s in spans if s[1] < base).encode()).hexdigest() for spans in found]
@@ -260,6 +260,7 @@ def scan(docs: DataFrame, rules=RULES, base: int = len(BASE)) -> DataFrame:
                  pa.array([_listed(s) for s in found], pa.string())],
                 ["doc_id", *(f"n_{r.kind}" for r in rules[:base]), "base_sha256", "spans"])
 
+    bound_batches(docs.sparkSession)
     columns = ", ".join(f"n_{r.kind} long" for r in rules[:base])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, f"doc_id long, {columns}, base_sha256 string, spans string")
@@ -270,13 +271,14 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[secret]") -> DataFrame:
 
     Texts without a span, null included, pass unchanged. ``n_chars``, if there, follows the text.
     """
+    bound_batches(docs.sparkSession)
     names = docs.columns
 
     def run(batches):
         import pyarrow as pa
 
         prepared = prepare(rules)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(names.index("text")).to_pylist()
             found = find_spans([x or "" for x in texts], rules, prepared)
             texts = [_replaced(t, spans, mark) if spans else t for t, spans in zip(texts, found)]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from navedge.session import scratch_path
 
-from .common import read_table
+from .common import bound_batches, read_table, slices
 from .tokens import worker_encoder
 
 #: The writer's settings.
@@ -52,23 +52,23 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
         encode, file_no, before = worker_encoder(tokenizer_path, True), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                ids = [x + end for x in encode([x or "" for x in part.column("text").to_pylist()])]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes), pa.array(ends[:-1] + before),
-                     pa.array(np.full(len(ids), file_no, np.int32)), lists],
-                    ["doc_id", "n_tokens", "start_in_file", "file_no", "ids"])
-                before += int(ends[-1])
+        for part in slices(batches):
+            ids = [x + end for x in encode([x or "" for x in part.column("text").to_pylist()])]
+            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(sizes), pa.array(ends[:-1] + before),
+                 pa.array(np.full(len(ids), file_no, np.int32)), lists],
+                ["doc_id", "n_tokens", "start_in_file", "file_no", "ids"])
+            before += int(ends[-1])
 
     return docs.mapInArrow(run, SCHEMA)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, files: int | None = None) -> None:
     """Encode every whole text and write the store."""
+    bound_batches(docs.sparkSession)
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = [F.col("doc_id"), F.xxhash64("text")]

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import bound_batches, read_table, staged
 
 BLOCK = 2048
 QUERIES = 1024
@@ -186,6 +186,7 @@ def _open(batch, prefix: str, i: int, width: int):
 def search(vectors: DataFrame, k: int, every: int, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all other rows for each row whose vec_id is a multiple of ``every``."""
     spark = vectors.sparkSession
+    bound_batches(spark)
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     width, n = vectors.agg(F.max(F.size("embedding")), F.count(F.lit(1))).first()
     schema = "query_id long, rank int, vec_id long, score long"
