@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import read_table, staged
+from .common import bound_batches, read_table, slices, staged
 
 #: Labelled documents that a fit reads at most, and learned words it keeps at most.
 MAX_LABELLED = 20_000
@@ -209,11 +209,11 @@ def learn_words(sample: DataFrame) -> tuple[dict[str, float], set[str]]:
         return {}, set()
     base = bad / (bad + good)
     fixed = set(INSULTS) | set(THREATS)
-    likely = (counts.where((F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") > 2 * base * (F.col("bad") + F.col("good"))))
+    likely = (counts.where((F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") / (F.col("bad") + F.col("good")) >= (1 + base) / 2))
               .orderBy(F.desc(F.col("bad") * F.log(F.col("bad") / (F.col("bad") + F.col("good")) / base)), "word").limit(4 * MAX_WORDS))
     learned: dict[str, float] = {}
     for word, b, g in likely.collect():
-        if len(learned) < MAX_WORDS and b > g and _binomial_tail(b, b + g, base) * size < CHANCE:
+        if len(learned) < MAX_WORDS and _binomial_tail(b, b + g, base) * size < CHANCE:
             odds = math.log((b + 0.5) / (g + 0.5)) - math.log(bad / good)
             learned[word] = min(max(odds, WEIGHT_RANGE[0]), WEIGHT_RANGE[1])
     against = {w for w, b, g in counts.where(F.col("word").isin(sorted(fixed))).collect()
@@ -228,7 +228,7 @@ def _score_pass(model_words, arcs, coefficients):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features(clause_weights(x or "", model_words, hits, arcs)) for x in batch.column("text").to_pylist()]
             x = np.array(rows, dtype=float).reshape(-1, 2)
             if coefficients is None:
@@ -261,6 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     """(lexicon, coefficients) from labelled rows whose crc32(doc_id) mod 5 is not 0."""
     import numpy as np
 
+    bound_batches(docs.sparkSession)
     sample = staged(_labelled(docs, labels, max_labelled), "toxic-sample")
     learned, against = learn_words(sample)
     words, arcs = lexicon(learned, against), grammar()
@@ -297,7 +298,7 @@ def _with_score(docs: DataFrame, words: dict, coefficients: tuple) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             part = pa.RecordBatch.from_arrays([batch.column(names.index("text"))], ["text"])
             for scored in inner(iter([part])):
                 yield pa.RecordBatch.from_arrays([*batch.columns, scored.column("score")], [*names, "_nv_score"])
