@@ -31,7 +31,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import bound_batches, read_table, slices, staged
 from .tokens import worker_encoder
 
 CAPACITY = 2048
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, kee
 
         encode, task = worker_encoder(tokenizer_path, keeps_spaces), TaskContext.get().partitionId()
         end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             ids = encode([x or "" for x in batch.column("text").to_pylist()])
             rows = []
             for doc, packed in zip(batch.column("doc_id").to_pylist(), ids):
@@ -102,7 +102,7 @@ class _Sums:
         if not ok.any():
             self.none.add(total)
             return None
-        a = int(low[ok][-1])
+        a = int(low[ok][0])  # with the longest partner
         self.known[total] = (total - a, a)
         return self.known[total]
 
@@ -127,7 +127,12 @@ class _Sums:
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
-    """(sequences, lengths in each) that use up the histogram."""
+    """(sequences, lengths in each) that use up the histogram: the best of complements of up to three, two,
+    one and no lengths, as filling early can leave the rest without small pieces."""
+    return min((_plan(histogram, capacity, parts) for parts in (3, 2, 1, 0)), key=lambda p: sum(n for n, _ in p))
+
+
+def _plan(histogram: dict[int, int], capacity: int, parts: int) -> list[tuple[int, tuple[int, ...]]]:
     import numpy as np
 
     counts = np.zeros(capacity + 1, np.int64)
@@ -144,11 +149,11 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int,
     if counts[capacity]:
         use((capacity,))
     sums = _Sums(counts)
-    for length in range(capacity - 1, 0, -1):
+    for length in range(capacity - 1, 0, -1) if parts else ():
         gap = capacity - length
         while counts[length]:
             counts[length] -= 1
-            rest = (gap,) if counts[gap] else sums.pair_now(gap) or sums.triple(gap)
+            rest = (gap,) if counts[gap] else parts > 1 and sums.pair_now(gap) or parts > 2 and sums.triple(gap)
             counts[length] += 1
             if not rest:
                 break
@@ -205,6 +210,7 @@ def placed(by_length, length: int, number: int) -> tuple[int, int]:
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = CAPACITY, keeps_spaces: bool = False,
          keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]."""
+    bound_batches(docs.sparkSession)
     found = staged(pieces(docs, tokenizer_path, end_id, capacity, keeps_spaces, keep_ids), "pieces")
     by_task = staged(found.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     # At most ``capacity`` rows.
