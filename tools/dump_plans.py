@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from navedge.plans.catalog import QUERIES
     from navedge.session import get_session
     spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     out = ["# Physical plans", "",
@@ -23,7 +23,7 @@ def main(argv):
            "query, before adaptive re-planning (AQE may still coalesce partitions, reuse an exchange",
            "or turn a sort-merge join into a broadcast join at run time). Streaming keys run a stream first,",
            "so they are listed by their batch twin.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)
