@@ -9,7 +9,7 @@ from navedge.session import scratch_path
 
 #: Rows that Spark hands to Python at a time, and bytes of texts that a pass works on at a time.
 BATCH_ROWS = 1000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Rows that a checked broadcast may hold; beyond it the same join shuffles.
 BROADCAST_ROWS = 100_000
 

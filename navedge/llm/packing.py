@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, read_table, slices, staged
-from .tokens import worker_encoder
+from .tokens import together, worker_encoder
 
 CAPACITY = 2048
 
@@ -51,12 +51,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, kee
         from pyspark import TaskContext
 
         encode, task = worker_encoder(tokenizer_path, keeps_spaces), TaskContext.get().partitionId()
-        end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches):
-            ids = encode([x or "" for x in batch.column("text").to_pylist()])
-            rows = []
-            for doc, packed in zip(batch.column("doc_id").to_pylist(), ids):
-                packed += end
+        seen = np.zeros(capacity + 1, np.int64)
+        for doc_ids, texts in together(slices(batches)):
+            ids, sizes = encode.column(texts, end_id)
+            ends, rows = np.cumsum(sizes).tolist(), []
+            for doc, begin, stop in zip(doc_ids.to_pylist(), [0, *ends], ends):
+                packed = ids[begin:stop].tobytes()
                 for i, at in enumerate(range(0, len(packed), 4 * capacity)):
                     some = packed[at:at + 4 * capacity]
                     n = len(some) // 4
@@ -84,8 +84,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, kee
 class _Sums:
     """Pairs of available lengths by their sum; a sum that has none stays without, as counts only fall."""
 
-    def __init__(self, counts):
-        self.counts, self.known, self.none = counts, {}, set()
+    def __init__(self, counts, even: bool):
+        self.counts, self.even, self.known, self.none = counts, even, {}, set()
 
     def _ok(self, a: int, b: int) -> bool:
         return self.counts[a] > (a == b) and self.counts[b] > 0
@@ -102,7 +102,7 @@ class _Sums:
         if not ok.any():
             self.none.add(total)
             return None
-        a = int(low[ok][0])  # with the longest partner
+        a = int(low[ok][-1 if self.even else 0])  # else with the longest partner
         self.known[total] = (total - a, a)
         return self.known[total]
 
@@ -128,11 +128,12 @@ class _Sums:
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
     """(sequences, lengths in each) that use up the histogram: the best of complements of up to three, two,
-    one and no lengths, as filling early can leave the rest without small pieces."""
-    return min((_plan(histogram, capacity, parts) for parts in (3, 2, 1, 0)), key=lambda p: sum(n for n, _ in p))
+    one and no lengths, with even or uneven pairs, as filling early can leave the rest without small pieces."""
+    plans = (_plan(histogram, capacity, parts, even) for parts, even in ((3, True), (3, False), (2, True), (2, False), (1, False), (0, False)))
+    return min(plans, key=lambda p: sum(n for n, _ in p))
 
 
-def _plan(histogram: dict[int, int], capacity: int, parts: int) -> list[tuple[int, tuple[int, ...]]]:
+def _plan(histogram: dict[int, int], capacity: int, parts: int, even: bool) -> list[tuple[int, tuple[int, ...]]]:
     import numpy as np
 
     counts = np.zeros(capacity + 1, np.int64)
@@ -148,7 +149,7 @@ def _plan(histogram: dict[int, int], capacity: int, parts: int) -> list[tuple[in
 
     if counts[capacity]:
         use((capacity,))
-    sums = _Sums(counts)
+    sums = _Sums(counts, even)
     for length in range(capacity - 1, 0, -1) if parts else ():
         gap = capacity - length
         while counts[length]:

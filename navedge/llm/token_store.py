@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from navedge.session import scratch_path
 
 from .common import bound_batches, read_table, slices
-from .tokens import worker_encoder
+from .tokens import together, worker_encoder
 
 #: The writer's settings.
 FORMAT = {
@@ -51,15 +51,13 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         from pyspark import TaskContext
 
         encode, file_no, before = worker_encoder(tokenizer_path, True), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches):
-            ids = [x + end for x in encode([x or "" for x in part.column("text").to_pylist()])]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        for doc_ids, texts in together(slices(batches)):
+            ids, sizes = encode.column(texts, end_id)
             ends = np.concatenate(([0], np.cumsum(sizes)))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view("<i4")))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes), pa.array(ends[:-1] + before),
-                 pa.array(np.full(len(ids), file_no, np.int32)), lists],
+                [doc_ids, pa.array(sizes), pa.array(ends[:-1] + before),
+                 pa.array(np.full(len(sizes), file_no, np.int32)), lists],
                 ["doc_id", "n_tokens", "start_in_file", "file_no", "ids"])
             before += int(ends[-1])
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -23,14 +24,17 @@ def fuzz(n, size=14, seed=1):
 
 
 @pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_encoder_equals_the_library(name, keeps, monkeypatch):
-    from navedge.llm import tokens
-    monkeypatch.setattr(tokens, "CACHE_UNITS", 50)
+def test_encoder_equals_the_library(name, keeps):
     plain = Tokenizer.from_file(P.path(name))
     plain.encode_special_tokens = True
     texts = fuzz(8000)
     want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(P.path(name), keeps)(texts)] == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(P.path(name), keeps, 50)(texts)] == want
+    encoder = Encoder(P.path(name), keeps, 50, 300)
+    for i in range(0, len(texts), 999):
+        ids, sizes = encoder.column(pa.array([None, *texts[i:i + 999]]), 2)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == [[2], *(x + [2] for x in want[i:i + 999])]
 
 
 ROWS = [(7, "some words here"), (3, None), (5, ""), (5, "twice"), (5, "twice"), (None, "no id"), (9, "long text " * 4000), (1, "é!  x\n")]
