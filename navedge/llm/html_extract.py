@@ -14,7 +14,8 @@ article (``silver``), at most ``MAX_PAGES`` chosen by a hash of page_id.
 
 Blocks keep page order. Character references are decoded, white space in a
 block becomes one space, ``br`` is white space; scripts, styles, templates,
-titles and comments are never text.
+titles and comments are never text. Custom elements whose names only start so
+(``svg-icon``) are ordinary ones; ``<svg/>`` and ``<!-->`` hold nothing.
 
 Defined results: null or empty html gives an empty text; markup that isn't
 closed ends with the page; a ``<`` that starts no tag is text; null page_id
@@ -55,8 +56,9 @@ STOPS = frozenset("ul ol dl table select".split())
 IN_PARAGRAPH = frozenset("button label select option textarea".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(script|style|noscript|template|svg|iframe|title)(?=[\s/>])(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"""\b(class|id|role|aria-label|itemprop|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

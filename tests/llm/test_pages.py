@@ -65,6 +65,17 @@ def test_awkward_pages(spark, model):
     assert H.main_text(with_extra(spark, [], "page_id long, url string, html string"), model).count() == 0
 
 
+def test_skipped_markup_ends_where_it_does():
+    texts = lambda page: [t for t in H.parse(page).text if t is not None]
+    for skipped in ("<svg class='i'/>", "<svg/>", "<svg />", "<SVG d='a>b' />", "<svg d='a>b'><path d='c'/><title>t</title></svg>", "<svg d='/'>no</svg>", "<!-->", "<!--->",
+                    "<!---->", "<!-- no --!>", "<!-- <p>no</p> -->", "<script>no</script x>", "<script src=a/>no</script\n>", "<svg-icon></svg-icon>", "<svg-icon/>", "<title-bar>",
+                    "<template-part>", "<style-x a='b'>", "<template>no<template-part></template-part>no</template>", "<svg>no</svg-icon>no</svg>", "<title>no</title>"):
+        assert texts(f"<p>a</p>{skipped}<p>b</p><svg>no</svg><p>c</p>") == ["a", "b", "c"], skipped
+    assert texts("<p>a</p><svg-icon>x</svg-icon><title-bar>y</title-bar><p>b</p>") == ["a", "xy", "b"]
+    for unclosed in ("<script>", "<svg>", "<!-- ", "<template a='b>"):
+        assert texts(f"<p>a</p>{unclosed}<p>b</p>") == ["a"], unclosed
+
+
 def test_page_query(spark):
     assert H.op4_html(spark, SF).count() == 50
 
