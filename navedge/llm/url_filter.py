@@ -10,14 +10,15 @@ one. At each place of a url the longest gram that was seen at all gives the
 difference of the two log probabilities; their mean over the url's places is
 compared with the threshold that parts the examples best.
 
-Everything is DataFrame functions. Urls are reduced to shapes (host and path,
-digits alike, 34 symbols), and counting and scoring work on distinct shapes.
+Everything is DataFrame functions. Rules read host and path; the models read
+the whole url, query and fragment too. Urls are reduced to shapes (what follows
+``://``, digits alike, 34 symbols), and counting and scoring work on distinct shapes.
 The model has at most 34 + 34^2 + 34^3 + 34^4 = 1,376,924 grams, whatever the
 number of urls: that bound is why it may be broadcast.
 
 Defined results: a null url, or one without ``://``, has an empty host and
-path, fits no rule and is judged by the method as the empty shape; a null
-page_id stays null; repeated rows repeat; without examples of both verdicts
+path and fits no rule; the method judges all of the latter's text, and null as
+the empty shape; a null page_id stays null; repeated rows repeat; without examples of both verdicts
 every url that no rule decides is allowed; equal mean and threshold allow;
 equal thresholds resolve to the smallest; extra columns are not read.
 """
@@ -42,25 +43,26 @@ BIN = 0.01
 
 
 def with_rule(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict of the rule (null if none fits)."""
+    """page_id, whole (the url after ``://``, or all of it), host, path, rule, verdict of the rule (null if none fits)."""
     at = F.instr("url", "://")
-    rest = F.when(at > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise("")
+    after = F.expr("substring(url, instr(url, '://') + 3)")
+    rest = F.when(at > 0, after).otherwise("")
+    whole = F.when(at > 0, after).otherwise(F.col("url"))
     host = F.translate(F.regexp_extract("rest", r"^([^/?#]*)", 1), string.ascii_uppercase, string.ascii_lowercase)
-    split = pages.select("page_id", F.coalesce(rest, F.lit("")).alias("rest")).select(
-        "page_id", host.alias("host"), F.regexp_extract("rest", r"^[^/?#]*([^?#]*)", 1).alias("path"))
+    split = pages.select("page_id", F.coalesce(whole, F.lit("")).alias("whole"), F.coalesce(rest, F.lit("")).alias("rest")).select(
+        "page_id", "whole", host.alias("host"), F.regexp_extract("rest", r"^[^/?#]*([^?#]*)", 1).alias("path"))
     longest_first = sorted(rules, key=lambda r: -len(r[0] + r[1]))
 
     def decide(value):
         return F.coalesce(*(F.when(((F.col("host") == h) | F.endswith("host", F.lit("." + h))) & F.startswith("path", F.lit(p)), value(h, p, v))
                             for h, p, v in longest_first), F.lit(None).cast("string"))
 
-    return split.select("page_id", "host", "path", decide(lambda h, p, v: F.lit(h + p)).alias("rule"),
+    return split.select("page_id", "whole", "host", "path", decide(lambda h, p, v: F.lit(h + p)).alias("rule"),
                         decide(lambda h, p, v: F.lit(v)).alias("by_rule"))
 
 
-def shape(host, path):
-    text = F.lower(F.concat(host, path))
-    return F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), r"[^a-z0./_-]", "~")
+def shape(text):
+    return F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]", "0"), r"[^a-z0./_-]", "~")
 
 
 def _grams(shapes: DataFrame, *keep: str) -> DataFrame:
@@ -116,9 +118,13 @@ def threshold(scored: DataFrame) -> float | None:
     return None if best is None else best.bin * BIN
 
 
-def judge(pages: DataFrame, rules=RULES) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, mean (of the url's shape)."""
-    ruled = with_rule(pages, rules).withColumn("shape", shape(F.col("host"), F.col("path")))
+def judge(pages: DataFrame, rules=RULES, whole: bool = False) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict, mean (of the url's shape).
+
+    With ``whole`` the models read the whole url, as the query does; without, host and path only.
+    """
+    read = F.col("whole") if whole else F.concat("host", "path")
+    ruled = with_rule(pages, rules).withColumn("shape", shape(read))
     shapes = staged(ruled.groupBy("shape").agg(F.count_if(F.col("by_rule") == "allow").alias("allow"),
                                                F.count_if(F.col("by_rule") == "block").alias("block")), "url-shapes")
     scored = staged(means(shapes, model(shapes)), "url-means")
@@ -129,4 +135,4 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read_table(spark, sf_dir, "pages")).drop("mean")
+    return judge(read_table(spark, sf_dir, "pages"), whole=True).drop("mean")
