@@ -11,7 +11,10 @@ each combination found is used as often as the counts allow, so it fills that
 many sequences to the last token. Pieces without an exact complement are then
 placed best-fit, longest first, again many alike at a time. The result is a
 list of patterns (lengths, and how many sequences look so), a few for each
-length.
+length. Six plans compete: sums up to three, two (each dealt evenly or not)
+and one, and plain best fit without complements. The one with the fewest
+sequences is used, so smaller sums or plain best fit stand in only where they
+save a sequence; of equal ones the first in that order wins.
 
 Each piece gets its number among the pieces of its length: encoding tasks
 count per length, and a running total over tasks gives each task its start,
