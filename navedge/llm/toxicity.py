@@ -10,8 +10,9 @@ table. Each reads the classes that the one before writes:
 
 A clause is the text between sentence marks, semicolons or line ends; states
 start anew with each clause. The weight of a clause is the sum, over its
-insults and threats, of the word's weight times the factor of its path; words
-alone have no score. Logistic regression on the clause weights of a document
+insults and threats, of the word's weight times the factor of its path. A word
+without any target passes at factor 1.0 (1.5 after a target), so lone words,
+learned ones too, do score: the grammar scales a word list. Logistic regression on the clause weights of a document
 gives the score.
 
 Word weights come from labelled documents: log odds of a word's contexts (the
