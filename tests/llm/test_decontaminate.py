@@ -1,0 +1,86 @@
+import hashlib
+import random
+import re
+
+import duckdb
+
+from navedge.llm import decontaminate as D
+
+from .data import SF, collected, with_extra
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items, window=10):
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = plain_words(text), set(), set()
+        for item_id, item in items:
+            v = plain_words(item)
+            k = min(window, len(v))
+            for a in range(len(v) - k + 1 if k else 0):
+                for i in range(len(w) - k + 1):
+                    if w[i:i + k] == v[a:a + k]:
+                        hit.update(range(i, i + k))
+                        found.add(item_id)
+        out.append((doc_id, len(w), len(hit), sorted(found, key=lambda i: (i is None, i))))
+    return sorted(out, key=repr)
+
+
+def cases(seed):
+    rng = random.Random(seed)
+    vocabulary = ["a", "B", "cé", "ß", "9", "x1", "Été", "中文"]
+    joint = [" ", "  ", "-", "\n", ".\t", "\x00", "_"]
+    line = lambda n: "".join(rng.choice(vocabulary) + rng.choice(joint) for _ in range(n))
+    items = [(i % 9, line(rng.choice([1, 4, 9, 10, 11, 25]))) for i in range(12)] + [(None, line(12)), (3, None), (4, ""), (5, " .-")]
+    items += items[:3]
+    docs = [(i, line(rng.randint(0, 40))) for i in range(40)]
+    docs += [(50 + i, line(5) + (t or "") + line(3) + (t or "").upper()) for i, (_, t) in enumerate(items)]
+    return docs + [(None, None), (7, ""), (7, ""), (8, items[5][1])], items
+
+
+def test_equals_brute_force_with_one_automaton_and_with_many(spark):
+    for seed, most in ((1, D.AUTOMATON_WINDOWS), (2, 20)):
+        docs, items = cases(seed)
+        items = [(i, t) for i, t in items if t is None or len(plain_words(t)) != 1]  # single words would hit everywhere
+        d = with_extra(spark, docs, "doc_id long, text string").repartition(3)
+        b = with_extra(spark, items, "item_id long, text string")
+        got = collected(D.find(d, b, most=most).select("doc_id", "n_words", "n_hit", "items"))
+        assert got == sorted(brute(docs, items), key=repr)
+
+
+def test_long_items_are_cut_without_a_seam(spark):
+    words = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert [r.n for r in D.pieces(items, size=7).orderBy("words").collect()].count(7) == 7
+    machine = D.Automaton([(1, bytes(r.words)) for r in D.pieces(items, size=7).collect()], 10)
+    assert machine.scan(D.words_of("x " + " ".join(words) + " y"))[0].tolist() == [False] + [True] * 60 + [False]
+    assert machine.scan(D.words_of(" ".join(words[:9] + words[10:19]))) is None
+
+
+def test_spans_are_of_the_original(spark):
+    item = "Is the sky blue today or is it rather grey now"
+    text = "É¿ " + item.upper().replace(" ", "—😀... ".replace("—😀", "")) + "! ünd so"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = D.find(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).first()
+    (span,) = row.spans
+    assert text[span.start:span.end] == "IS... THE... SKY... BLUE... TODAY... OR... IS... IT... RATHER... GREY... NOW" and row.n_hit == 11
+
+
+def test_empty_tables(spark):
+    docs, items = with_extra(spark, [], "doc_id long, text string"), with_extra(spark, [], "item_id long, text string")
+    assert D.find(docs, items).count() == 0
+    one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert [tuple(r) for r in D.find(one, items).collect()] == [(1, 2, 0, [], [])]
+
+
+def test_query_equals_sql(spark):
+    for t in ("documents", "benchmark"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS FROM '{SF}/{t}.parquet'")
+    got = collected(D.op13_decontaminate(spark, SF))
+    assert got == sorted(duckdb.sql(D.SQL).fetchall(), key=repr)
+    assert any(r[5] for r in got) and all(r[4] == hashlib.sha256(b"").hexdigest() for r in got if not r[5])
