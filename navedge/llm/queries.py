@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe_chunks, decontaminate, exact_dedup, hard_negatives, html_extract, packing, secret_scan, simhash, token_store, topk,
-               toxicity, url_filter)
+from . import (bpe_chunks, decontaminate, exact_dedup, hard_negatives, html_extract, packing, prefix_trie, secret_scan, simhash,
+               token_store, topk, toxicity, url_filter)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_byte_bpe": bpe_chunks.op8_byte_bpe,
     "op9_packing": packing.op9_packing,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_decontaminate": decontaminate.op13_decontaminate,
 }
@@ -23,6 +24,7 @@ QUERIES = {
 ORACLE = {
     "op6_topk": topk.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
     "op13_decontaminate": decontaminate.SQL,
 }
