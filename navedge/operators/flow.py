@@ -30,22 +30,36 @@ def _ratio():
     return F.try_divide(F.col(OUT_COUNT), F.col(IN_COUNT)).cast("double").alias(RATIO)
 
 
-def flow_one_pass(edges: DataFrame) -> DataFrame:
+#: Edges on each side of an article, beside their sums: a side whose n are all null still joins.
+IN_ROWS, OUT_ROWS = "in_rows", "out_rows"
+
+
+def flow_totals(edges: DataFrame) -> DataFrame:
+    """``Article, in_count, out_count, in_rows, out_rows`` of every title: one grouping of tagged rows.
+
+    The same plan on a stream is one stateful operator whose state holds a row per title, whatever the number of edges.
+    """
     sides = F.array(
         F.struct(F.col("curr").alias("a"), F.col("n").alias("v"), F.lit(True).alias("inbound")),
         F.struct(F.col("prev").alias("a"), F.col("n").alias("v"), F.lit(False).alias("inbound")))
     rows = edges.select(F.inline(sides)).where(F.col("a").isNotNull())
     inbound = F.col("inbound")
-    agg = rows.groupBy(F.col("a").alias(ARTICLE)).agg(
+    return rows.groupBy(F.col("a").alias(ARTICLE)).agg(
         F.sum(F.when(inbound, F.col("v"))).cast("bigint").alias(IN_COUNT),
         F.sum(F.when(~inbound, F.col("v"))).cast("bigint").alias(OUT_COUNT),
-        # presence, not the sums: a side whose n are all null still joins
-        F.count_if(inbound).alias("_nin"),
-        F.count_if(~inbound).alias("_nout"))
-    return (agg.where((F.col("_nin") > 0) & (F.col("_nout") > 0))
+        F.count_if(inbound).alias(IN_ROWS), F.count_if(~inbound).alias(OUT_ROWS))
+
+
+def flow_of_totals(totals: DataFrame) -> DataFrame:
+    """The answer from ``flow_totals``: titles with edges on both sides."""
+    return (totals.where((F.col(IN_ROWS) > 0) & (F.col(OUT_ROWS) > 0))
             .select(ARTICLE, IN_COUNT, OUT_COUNT, _ratio()))
 
 
+def flow_one_pass(edges: DataFrame) -> DataFrame:
+    return flow_of_totals(flow_totals(edges))
+
+
 def flow_join(edges: DataFrame, article: str | None = None) -> DataFrame:
     src = edges
     ins = src if article is None else src.where(F.col("curr") == article)
@@ -53,5 +67,10 @@ def flow_join(edges: DataFrame, article: str | None = None) -> DataFrame:
     inflow = ins.groupBy(F.col("curr").alias(ARTICLE)).agg(F.sum("n").cast("bigint").alias(IN_COUNT))
     outflow = outs.groupBy(F.col("prev").alias("link_clicked")).agg(
         F.sum("n").cast("bigint").alias(OUT_COUNT))
+    return flow_of_stored_totals(inflow, outflow)
+
+
+def flow_of_stored_totals(inflow: DataFrame, outflow: DataFrame) -> DataFrame:
+    """The answer from both totals: ``Article, in_count`` and ``link_clicked, out_count``."""
     joined = inflow.join(outflow, inflow[ARTICLE] == outflow["link_clicked"], "inner")
     return joined.select(ARTICLE, IN_COUNT, OUT_COUNT, _ratio())

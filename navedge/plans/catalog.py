@@ -201,6 +201,27 @@ def q9_same_referer(spark, sf_dir):
     return _as_text(Q.same_referer(load_edges(spark, sf_dir), k=PAIR_K))
 
 
+SHARED_K = 3
+
+
+def _shared_sql() -> str:
+    text = "coalesce(prev, 'null') || '>' || coalesce(curr, 'null') || ':' || coalesce(type, 'null') || ':' || coalesce(CAST(n AS VARCHAR), 'null')"
+    order = f"n DESC NULLS LAST, {_ord('prev', 'curr', 'type')}"
+    side = lambda name, col: (
+        f"{name}_all AS (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY {order}) AS r FROM clickstream WHERE {col} LIKE '%' AND prev IS NOT NULL), "
+        f"{name}_side AS (SELECT prev, count(*) AS {name}_rows, CAST(sum(n) AS BIGINT) AS {name}_hits, "
+        f"string_agg({text}, '; ' ORDER BY r) FILTER (r <= {SHARED_K}) AS {name}_edges FROM {name}_all GROUP BY prev)")
+    return with_fixture(f", {side('in', 'curr')}, {side('out', 'prev')} SELECT prev, in_rows, in_hits, out_rows, out_hits, in_edges, out_edges "
+                        "FROM in_side JOIN out_side USING (prev)")
+
+
+@register("q9_shared_referers", _shared_sql())
+def q9_shared_referers(spark, sf_dir):
+    """Both lists over all edges, joined on the referrer."""
+    found = Q.shared_referers(load_edges(spark, sf_dir), k=SHARED_K)
+    return found.withColumns({c: Q.edge_text(c) for c in ("in_edges", "out_edges")})
+
+
 EDGES_WHERE_PREDICATE = "type = 'link' AND n > 1"
 
 
@@ -325,6 +346,25 @@ def sql_surface(spark, sf_dir):
     return stacked_questions(load_edges(spark, sf_dir))
 
 
+@register("questions_one_pass", _stacked_sql())
+def questions_one_pass(spark, sf_dir):
+    return Q.questions_one_pass(load_edges(spark, sf_dir))
+
+
+@register("q5_bucketed_tables", ORACLE["q5_inflow_outflow"])
+def q5_bucketed_tables(spark, sf_dir):
+    """Question 5 from stored totals, bucketed and sorted by article: the join reads both without an exchange."""
+    import uuid
+    from navedge.session import scratch_path
+    from navedge.sinks.table import bucketed_flow, save_bucketed
+    staged = scratch_path(spark, "edges")
+    load_edges(spark, sf_dir).write.parquet(staged)
+    edges, tag = spark.read.parquet(staged), uuid.uuid4().hex[:8]
+    save_bucketed(Q.page_views(edges), f"navedge_in_{tag}", "Article", 8)
+    save_bucketed(Q.link_clicks(edges), f"navedge_out_{tag}", "link_clicked", 8)
+    return bucketed_flow(spark, f"navedge_in_{tag}", f"navedge_out_{tag}")
+
+
 # Windows ---------------------------------------------------------------------
 WINDOW_ORACLE_SQL = """
 WITH b AS (SELECT event_type,
@@ -342,14 +382,19 @@ def window_counts(spark, sf_dir):
     return sliding_counts(read_events(spark, sf_dir), "ts", ["event_type"])
 
 
+@register("window_panes", WINDOW_ORACLE_SQL)
+def window_panes(spark, sf_dir):
+    """The sliding counts from panes: each event is counted once, windows are runs of panes."""
+    from navedge.operators.window import sliding_counts_by_panes
+    from navedge.sources.events import read_events
+    return sliding_counts_by_panes(read_events(spark, sf_dir), "ts", ["event_type"])
+
+
 # Keyed replace ---------------------------------------------------------------
-@register("replace_into", _EDGES_SQL)
-def replace_into(spark, sf_dir):
-    """An incremental load: the edge table of the first half of the period,
-    then a batch of recomputed totals for every edge touched in the second
-    half, replaced into it by key. The result must equal a full rebuild."""
+def _load_in_two(spark, sf_dir):
+    """An incremental load: the edge table of the first half of the period, and recomputed totals of every
+    edge touched in the second half."""
     from pyspark.sql import functions as F
-    from navedge.operators.keyed import replace_into as ri
     from navedge.sources.events import read_events
     rows = load_clicks(spark, sf_dir)
     # the period's bounds: two scalars from the ``ts`` column alone
@@ -360,10 +405,28 @@ def replace_into(spark, sf_dir):
         F.sum(F.when(early, F.col(S.N))).cast("bigint").alias("before"), F.count_if(early).alias("early"),
         F.sum(S.N).cast("bigint").alias(S.N), F.count_if(~early).alias("late"))
     target = sums.where("early > 0").select(*S.KEY_COLUMNS, F.col("before").alias(S.N))
-    batch = sums.where("late > 0").select(*S.EDGE_COLUMNS)
+    return target, sums.where("late > 0").select(*S.EDGE_COLUMNS)
+
+
+@register("replace_into", _EDGES_SQL)
+def replace_into(spark, sf_dir):
+    """The batch of an incremental load replaced into the table by key; the result must equal a full rebuild."""
+    from navedge.operators.keyed import replace_into as ri
+    target, batch = _load_in_two(spark, sf_dir)
     return ri(target, batch, S.KEY_COLUMNS)
 
 
+@register("replace_bucketed", _EDGES_SQL)
+def replace_bucketed(spark, sf_dir):
+    """The same load into a stored table: the second batch rewrites the buckets it touches, and the read folds nothing."""
+    from navedge.session import scratch_path
+    from navedge.sinks.table import read_table, replace_batch
+    path = scratch_path(spark, "edge-table")
+    for batch_id, batch in enumerate(_load_in_two(spark, sf_dir)):
+        replace_batch(batch, path, batch_id, S.KEY_COLUMNS)
+    return read_table(spark, path)
+
+
 # Streaming -------------------------------------------------------------------
 # Messages derived from the tables are staged as text files and read back as
 # a file stream, about a quarter of the files per trigger, so every query runs
@@ -442,6 +505,37 @@ def stream_inflow_outflow(spark, sf_dir):
     return Q.inflow_outflow(_stream_edges_of(spark, sf_dir))
 
 
+@register("stream_flow_one_pass", ORACLE["q5_inflow_outflow"])
+def stream_flow_one_pass(spark, sf_dir):
+    """Question 5 as one stateful operator: its state holds a row per title, not per edge."""
+    from navedge.operators import flow
+    from navedge.operators.aggregate import sorted_desc
+    from navedge.sinks.versioned import read_latest_per_key
+    from navedge.streaming.engine import await_done, run_change_log
+    q, log = run_change_log(flow.flow_totals(_parsed_stream(spark, sf_dir, "json")))
+    await_done(q)
+    return sorted_desc(flow.flow_of_totals(read_latest_per_key(spark, log, [flow.ARTICLE])), flow.IN_COUNT, ["Article", "out_count", "ratio"])
+
+
+@register("stream_state_answers", ORACLE["q5_inflow_outflow"])
+def stream_state_answers(spark, sf_dir):
+    """A stream that writes nothing; question 5 is answered from the edge state in its checkpoint."""
+    from navedge.streaming.engine import await_done, edge_totals, run_state_only, state_edges
+    q, checkpoint = run_state_only(edge_totals(_parsed_stream(spark, sf_dir, "tab")))
+    await_done(q)
+    return Q.inflow_outflow(state_edges(spark, checkpoint))
+
+
+@register("stream_table_replace", _EDGES_SQL)
+def stream_table_replace(spark, sf_dir):
+    """Changed edges of each micro-batch replaced by key into a stored table."""
+    from navedge.sinks.table import read_table
+    from navedge.streaming.engine import await_done, edge_totals, run_table
+    q, path = run_table(edge_totals(_parsed_stream(spark, sf_dir, "json")), S.KEY_COLUMNS, buckets=16)
+    await_done(q)
+    return read_table(spark, path)
+
+
 _TOUCHES_ARTICLE = f"curr LIKE '{S.DEFAULT_ARTICLE_PATTERN}' OR prev LIKE '{S.DEFAULT_ARTICLE_PATTERN}'"
 
 
@@ -470,30 +564,42 @@ def stream_update_replace(spark, sf_dir):
     return _stream_edges_of(spark, sf_dir, "json")
 
 
-@register("stream_window_counts", WINDOW_ORACLE_SQL)
-def stream_window_counts(spark, sf_dir):
-    from pyspark.sql import functions as F
+def _event_stream(spark, sf_dir):
     from navedge.session import scratch_path
-    from navedge.sinks.versioned import read_latest_per_key
     from navedge.sources.events import read_events
     from navedge.sources.messages import files_per_trigger
-    from navedge.streaming.engine import await_done
-    from navedge.streaming.windows import run_window_counts
     staged = scratch_path(spark, "events-stream")
     ev = read_events(spark, sf_dir).select("ts", "event_type")
     # round-robin files, each sorted by time; with no watermark here the order
     # in which files are read does not matter
     ev.repartition(_stream_files(spark)).sortWithinPartitions("ts").write.parquet(staged)
     per = files_per_trigger(spark, staged, STREAM_BATCHES)
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(per))
-              .parquet(staged))
-    q, log = run_window_counts(stream, "ts", ["event_type"])
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", str(per)).parquet(staged)
+
+
+def _plain_times(windows):
+    from pyspark.sql import functions as F
+    return windows.select("event_type", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "count")
+
+
+@register("stream_window_counts", WINDOW_ORACLE_SQL)
+def stream_window_counts(spark, sf_dir):
+    from navedge.sinks.versioned import read_latest_per_key
+    from navedge.streaming.engine import await_done
+    from navedge.streaming.windows import run_window_counts
+    q, log = run_window_counts(_event_stream(spark, sf_dir), "ts", ["event_type"])
+    await_done(q)
+    return _plain_times(read_latest_per_key(spark, log, ["event_type", "window_start", "window_end"]))
+
+
+@register("stream_window_panes", WINDOW_ORACLE_SQL)
+def stream_window_panes(spark, sf_dir):
+    """Panes as the only state of the stream; windows are assembled on read."""
+    from navedge.streaming.engine import await_done
+    from navedge.streaming.windows import current_windows, run_pane_counts
+    q, log = run_pane_counts(_event_stream(spark, sf_dir), "ts", ["event_type"])
     await_done(q)
-    keys = ["event_type", "window_start", "window_end"]
-    out = read_latest_per_key(spark, log, keys)
-    return out.select("event_type",
-                      F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "count")
+    return _plain_times(current_windows(spark, log, ["event_type"]))
 
 
 @register("stream_fanout", _CLICK_ROWS_SQL)

@@ -161,6 +161,63 @@ def same_referer(edges: DataFrame, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
     return into.join(out, on="prev", how="inner")
 
 
+#: Slices of a referrer's edges that rank apart before their lists are merged.
+LIST_SALTS = 64
+
+
+def shared_referers(edges: DataFrame, into: str = "%", out: str = "%", k: int = S.DEFAULT_ARTICLE_EDGES_K,
+                    salts: int = LIST_SALTS) -> DataFrame:
+    """Referrers with edges in both lists, taken without a limit: ``prev, in_rows, in_hits, out_rows, out_hits, in_edges, out_edges``.
+
+    The in-list is every edge whose target matches ``into``, the out-list
+    every edge whose referrer matches ``out``. Counts and sums are of all their
+    edges; the arrays hold the k strongest. Lists are merged in two levels, the
+    k strongest of each slice of a referrer's edges and then of these, so that
+    a referrer with a third of all edges is never gathered in one task.
+    """
+    from pyspark.sql import Window
+    sides = F.array(F.when(F.col("curr").like(into), F.lit("in")), F.when(F.col("prev").like(out), F.lit("out")))
+    rows = edges.where(F.col("prev").isNotNull()).select(*S.EDGE_COLUMNS, F.explode(sides).alias("side")).where("side IS NOT NULL")
+    is_in = F.col("side") == "in"
+    totals = rows.groupBy("prev").agg(
+        F.count_if(is_in).alias("in_rows"), F.sum(F.when(is_in, F.col("n"))).cast("bigint").alias("in_hits"),
+        F.count_if(~is_in).alias("out_rows"), F.sum(F.when(~is_in, F.col("n"))).cast("bigint").alias("out_hits")
+    ).where("in_rows > 0 AND out_rows > 0")
+    strongest = [F.col("n").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in S.KEY_COLUMNS]]
+    # The whole edge is hashed: repeated edges share a slice, where k of them are enough.
+    salted = rows.withColumn("_nv_salt", F.pmod(F.xxhash64("curr", "type", "n"), F.lit(int(salts))))
+    first = salted.withColumn("_nv_rank", F.row_number().over(Window.partitionBy("side", "prev", "_nv_salt").orderBy(*strongest)))
+    first = first.where(F.col("_nv_rank") <= int(k)).drop("_nv_rank")
+    best = first.withColumn("_nv_rank", F.row_number().over(Window.partitionBy("side", "prev").orderBy(*strongest))).where(F.col("_nv_rank") <= int(k))
+    at = F.struct(F.col("_nv_rank"), F.struct(*S.EDGE_COLUMNS).alias("edge"))
+    listed = lambda side: F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == side, at))), lambda x: x["edge"])
+    lists = best.groupBy("prev").agg(listed("in").alias("in_edges"), listed("out").alias("out_edges"))  # 2k edges at most
+    return totals.join(lists, "prev")
+
+
+# Q1-Q4 in one grouping -------------------------------------------------------
+def questions_one_pass(edges: DataFrame, referer: str = S.DEFAULT_REFERER, link_type: str = S.DEFAULT_MISSING_TYPE,
+                       k: int | None = None) -> DataFrame:
+    """``question, label, total`` of questions 1-4 from one scan and one grouping of the edges.
+
+    Each edge becomes a row for every question it counts in; sums are taken
+    by question and label. The ranks then move at most k rows a task and question.
+    """
+    from pyspark.sql import Window
+    most = {"q1": k or S.DEFAULT_TOP_ARTICLES_K, "q2": k or S.DEFAULT_TOP_REFERERS_K, "q3": k or S.DEFAULT_FROM_REFERER_K,
+            "q4": k or S.DEFAULT_MISSING_PAGES_K}
+    row = lambda q, label: F.struct(F.lit(q).alias("question"), F.col(label).alias("label"))
+    asked = F.array(row("q1", "curr"), row("q2", "prev"), F.when(F.col("prev") == referer, row("q3", "curr")),
+                    F.when(F.col("type") == link_type, row("q4", "curr")))
+    rows = edges.select("n", F.explode(asked).alias("a")).where(F.col("a").isNotNull()).select("a.question", "a.label", "n")
+    sums = rows.groupBy("question", "label").agg(F.sum("n").cast("bigint").alias("total"))
+    order = Window.partitionBy("question").orderBy(F.col("total").desc_nulls_last(), F.col("label").asc_nulls_last())
+    # The literal bound lets Spark cut every task's rows before the exchange.
+    ranked = sums.withColumn("_nv_rank", F.row_number().over(order)).where(F.col("_nv_rank") <= max(most.values()))
+    limit = F.element_at(F.create_map(*[F.lit(x) for q, m in most.items() for x in (q, int(m))]), F.col("question"))
+    return ranked.where(F.col("_nv_rank") <= limit).select("question", "label", "total")
+
+
 def edge_text(array):
     """An array of edges as text: ``prev>curr:type:n`` joined by ``; `` (null prints as ``null``)."""
     part = lambda x, c: F.coalesce(x[c].cast("string"), F.lit("null"))

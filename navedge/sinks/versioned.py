@@ -14,8 +14,9 @@ twice.
 A batch is published by a marker, an empty file under ``_commits`` whose name
 is the batch id: it is written after the data, so readers never see a batch half written, and an empty newest answer
 counts as the newest. ``compact_log`` folds all committed batches up to one
-into a base next to them; readers then start at the latest base. It can run
-while the stream writes later batches.
+into a base next to them; readers then start at the latest base, and
+``trim_log`` removes what it covers. Both can run while the stream writes
+later batches.
 """
 
 from __future__ import annotations
@@ -92,3 +93,32 @@ def compact_log(spark: SparkSession, path: str, keys: list[str]) -> int:
     read_latest_per_key(spark, path, keys).write.mode("overwrite").parquet(f"{path.rstrip('/')}/base={last}")
     _mark(spark, path, "_bases", last)
     return last
+
+
+def trim_log(spark: SparkSession, path: str) -> int:
+    """Delete the folders and markers that the latest base covers, and older bases; returns the folders deleted.
+
+    Readers that started before the base was published may still list them:
+    run it a while after ``compact_log``, or when no reader is that old.
+    """
+    bases, root = committed(spark, path, "_bases"), path.rstrip("/")
+    if not bases:
+        return 0
+    gone = 0
+
+    def delete(name: str) -> None:
+        fs, location = _hadoop(spark, f"{root}/{name}")
+        fs.delete(location, True)
+
+    for folder in _names(spark, root):
+        kind, _, number = folder.partition("=")
+        if number.isdigit() and (kind == VERSION and int(number) <= bases[-1] or kind == "base" and int(number) < bases[-1]):
+            delete(folder)
+            gone += 1
+    # The newest marker stays: snapshots and commands ask for the last batch.
+    for i in committed(spark, path):
+        if i < bases[-1]:
+            delete(f"_commits/{i}")
+    for i in bases[:-1]:
+        delete(f"_bases/{i}")
+    return gone

@@ -7,13 +7,18 @@ replaces one stateful query (and one read of the topic) per question, and it
 is also the only legal form of the questions Spark refuses on a stream
 (joins of two streaming aggregates, sorts without aggregation, unions).
 
-Two routes for the edge state:
+Routes for the edge state:
 
 * complete mode: each batch sees the whole edge table; answers are written
   as versioned snapshots. For a modest number of edges.
-* update mode: each batch sees only the edges it changed; they go to a
-  change log, and the edge table is each key's latest row. Writes cost what
-  changed. Aggregation state is kept by the RocksDB provider in both.
+* update mode: each batch sees only the edges it changed. They go to a change
+  log, where the edge table is each key's latest row and writes cost what
+  changed; or into a stored table by key, which rewrites the buckets they
+  touch and leaves readers nothing to fold.
+* no output: answers are read from the state in the checkpoint, as of any
+  batch that it still holds.
+
+Aggregation state is kept by the RocksDB provider in all of them.
 
 Every sink is keyed by ``batch_id`` and overwritten on replay.
 """
@@ -31,6 +36,7 @@ from navedge import schema as S
 from navedge.functions.parse import parse_json, parse_permissive, parse_strict
 from navedge.session import scratch_path
 from navedge.sources.files import write_csv
+from navedge.sinks.table import BUCKETS, replace_batch
 from navedge.sinks.versioned import (read_latest_per_key, read_latest_snapshot,
                                      write_version)
 
@@ -118,6 +124,32 @@ def run_change_log(aggregated: DataFrame, path: str | None = None, checkpoint: s
     return q, path
 
 
+def table_handler(path: str, keys: list[str], buckets: int):
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(batch, path, batch_id, keys, buckets)
+    return handle
+
+
+def run_table(aggregated: DataFrame, keys: list[str], path: str | None = None, checkpoint: str | None = None,
+              trigger: str | None = "availableNow", name: str | None = None, buckets: int = BUCKETS
+              ) -> tuple[StreamingQuery, str]:
+    """Update-mode aggregate replaced by key into a stored table, so readers fold nothing."""
+    spark = aggregated.sparkSession
+    path = path or scratch_path(spark, "table")
+    checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name or 'table'}")
+    q = _start(aggregated, table_handler(path, keys, buckets), "update", checkpoint, trigger, name)
+    return q, path
+
+
+def run_state_only(aggregated: DataFrame, checkpoint: str | None = None, trigger: str | None = "availableNow",
+                   name: str | None = None) -> tuple[StreamingQuery, str]:
+    """Keep the aggregate as state and write no output; ``state_edges`` reads it from the checkpoint."""
+    checkpoint = checkpoint or scratch_path(aggregated.sparkSession, f"ckpt-{name or 'state'}")
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("noop").mode("overwrite").save()  # what is not computed never reaches the state
+    return _start(aggregated, handle, "update", checkpoint, trigger, name), checkpoint
+
+
 def run_append(rows: DataFrame, path: str | None = None, checkpoint: str | None = None,
                trigger: str | None = "availableNow", name: str | None = None,
                fmt: str = "parquet") -> tuple[StreamingQuery, str]:
@@ -184,3 +216,22 @@ def latest_answer(spark: SparkSession, out_root: str, name: str) -> DataFrame:
 
 def current_edges(spark: SparkSession, change_log: str) -> DataFrame:
     return read_latest_per_key(spark, change_log, S.KEY_COLUMNS).select(*S.EDGE_COLUMNS)
+
+
+def read_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None, operator: int = 0) -> DataFrame:
+    """The rows of a grouped stream's state, key and value columns side by side, after a batch (default: the last).
+
+    The state of a checkpoint is a table of its own, so answers need neither
+    complete mode nor a log of changes; the stream may be running or stopped.
+    """
+    r = spark.read.format("statestore").option("operatorId", str(operator))
+    if batch_id is not None:
+        r = r.option("batchId", str(int(batch_id)))
+    return r.load(checkpoint).select("key.*", "value.*")
+
+
+def state_edges(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The edge table held by the state of ``edge_totals``."""
+    state = read_state(spark, checkpoint, batch_id)
+    hits = next(c for c in state.columns if c not in S.KEY_COLUMNS)
+    return state.select(*S.KEY_COLUMNS, F.col(hits).cast("bigint").alias(S.N))
