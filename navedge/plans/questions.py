@@ -232,10 +232,21 @@ def edges_where(edges: DataFrame, predicate: str) -> DataFrame:
 
 def all_questions(referer: str = S.DEFAULT_REFERER, link_type: str = S.DEFAULT_MISSING_TYPE,
                   article: str = S.DEFAULT_ARTICLE, pattern: str = S.DEFAULT_ARTICLE_PATTERN,
-                  k: int | None = None) -> dict[str, callable]:
-    """Every question as ``name -> (edges -> DataFrame)``, with its parameters bound; ``k`` replaces each default."""
+                  k: int | None = None, joined: bool = False) -> dict[str, callable]:
+    """Every question as ``name -> (edges -> DataFrame)``, with its parameters bound; ``k`` replaces each default.
+
+    ``joined`` adds the joined forms of question 9; their lists of edges are text, which any sink can hold.
+    """
     size = {} if k is None else {"k": int(k)}
+    as_text = lambda df: df.withColumns({c: edge_text(c) for c in ("in_edges", "out_edges")})
+    more = {
+        "both_lists_side_by_side": lambda e: both_lists_side_by_side(e, pattern, **size),
+        "two_step_paths": lambda e: as_text(two_step_paths(e, pattern, **size)),
+        "same_referer": lambda e: as_text(same_referer(e, pattern, **size)),
+        "shared_referers": lambda e: as_text(shared_referers(e, **size)),
+    } if joined else {}
     return {
+        **more,
         "top_articles": lambda e: top_articles(e, **size),
         "top_referers": lambda e: top_referers(e, **size),
         "top_from_referer": lambda e: top_from_referer(e, referer, **size),

@@ -55,6 +55,16 @@ def write_version(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
         _mark(df.sparkSession, path, "_commits", batch_id)
 
 
+def publish(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Publish a batch of several sinks under ``root``, after every one of them was written."""
+    _mark(spark, root, "_commits", batch_id)
+
+
+def published_folders(spark: SparkSession, root: str, leg: str) -> list[str]:
+    """Folders of one sink of the published batches."""
+    return [f"{root.rstrip('/')}/{leg}/{VERSION}={i}" for i in committed(spark, root)]
+
+
 def _folder(spark: SparkSession, path: str, name: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}").withColumn(VERSION, F.lit(int(batch_id)).cast("bigint"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navedge import schema as S
-from navedge.functions.parse import NULL_MARK, _sep_regex, escape_field, unescape_field
+from navedge.functions.parse import _STRICT_COUNT, NULL_MARK, _sep_regex, escape_field, unescape_field
 
 
 # Quoted CSV that keeps null apart from empty text, and blanks at the ends. Same options to write and to read.
@@ -38,6 +38,22 @@ def read_csv(spark: SparkSession, path: str, schema=S.EDGE_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
 
 
+def write_csv_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """CSV in which every row is one line: fields are written by ``escape_field``, so a file can be read in splits."""
+    rows = df.select(*[escape_field(f.name).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.coalesce(F.col(f.name).cast("string"), F.lit(NULL_MARK)).alias(f.name) for f in df.schema.fields])
+    rows.write.mode(mode).options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    return path
+
+
+def read_csv_lines(spark: SparkSession, path: str | list[str], schema=S.EDGE_SCHEMA) -> DataFrame:
+    """What ``write_csv_lines`` wrote."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = spark.read.schema(texts).options(header="true", escape='"', nullValue="", ignoreLeadingWhiteSpace="false",
+                                            ignoreTrailingWhiteSpace="false").csv(path)
+    return rows.select(*[unescape_field(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_tsv(spark: SparkSession, path: str, sep: str = "\t", schema=S.EDGE_SCHEMA,
              corrupt_column: str | None = None, escaped: bool = False) -> DataFrame:
     reader = (spark.read.schema(schema)
@@ -85,7 +101,8 @@ def read_text_edges(spark: SparkSession, path: str, sep: str = "\t", escaped: bo
     """Text lines split on ``sep``; positional typed record; bad rows fail."""
     arr = F.split(F.col("value"), _sep_regex(sep), -1)
     count = F.get(arr, 3)
-    good = (F.size(arr) >= 4) & count.try_cast("bigint").isNotNull()
+    # A cast trims blanks; a strict count is digits alone.
+    good = (F.size(arr) >= 4) & count.rlike(_STRICT_COUNT) & count.try_cast("bigint").isNotNull()
     if escaped:
         good = good | ((F.size(arr) >= 4) & (count == NULL_MARK))
     # A filter: unlike a column it is never pruned away.

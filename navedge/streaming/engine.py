@@ -35,10 +35,10 @@ from pyspark.sql.streaming import StreamingQuery
 from navedge import schema as S
 from navedge.functions.parse import parse_json, parse_permissive, parse_strict
 from navedge.session import scratch_path
-from navedge.sources.files import write_csv
+from navedge.sources.files import read_csv_lines, write_csv, write_csv_lines
 from navedge.sinks.table import BUCKETS, replace_batch
-from navedge.sinks.versioned import (read_latest_per_key, read_latest_snapshot,
-                                     write_version)
+from navedge.sinks.versioned import (VERSION, publish, published_folders, read_latest_per_key,
+                                     read_latest_snapshot, write_version)
 
 Answer = Callable[[DataFrame], DataFrame]
 
@@ -84,13 +84,16 @@ def await_done(query: StreamingQuery, timeout_sec: float | None = None) -> Strea
     return query
 
 
-def answers_handler(answers: dict[str, Answer], out_root: str):
-    """``foreachBatch`` body: each answer of the batch frame, one snapshot each."""
+def answers_handler(answers: dict[str, Answer], out_root: str, table_write=None):
+    """``foreachBatch`` body: each answer of the batch frame, one snapshot each; ``table_write(name)`` gives a function
+    of (answer, batch id) that puts the snapshot into a relational table."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, fn in answers.items():
                 write_version(fn(batch), f"{out_root}/{name}", batch_id, commit=True)
+                if table_write is not None:  # the answer as written, not computed again
+                    table_write(name)(read_latest_snapshot(batch.sparkSession, f"{out_root}/{name}"), batch_id)
         finally:
             batch.unpersist()
     return handle
@@ -104,12 +107,12 @@ def change_log_handler(path: str):
 
 def run_answers(edge_state: DataFrame, answers: dict[str, Answer], out_root: str | None = None,
                 checkpoint: str | None = None, trigger: str | None = "availableNow",
-                name: str | None = None) -> tuple[StreamingQuery, str]:
-    """Complete-mode edge state; answers written as snapshots under ``out_root``."""
+                name: str | None = None, table_write=None) -> tuple[StreamingQuery, str]:
+    """Complete-mode edge state; answers written as snapshots under ``out_root`` (and to tables, see ``answers_handler``)."""
     spark = edge_state.sparkSession
     out_root = out_root or scratch_path(spark, "answers")
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name or 'answers'}")
-    q = _start(edge_state, answers_handler(answers, out_root), "complete", checkpoint, trigger, name)
+    q = _start(edge_state, answers_handler(answers, out_root, table_write), "complete", checkpoint, trigger, name)
     return q, out_root
 
 
@@ -191,6 +194,44 @@ def run_fanout(rows: DataFrame, csv_path: str | None = None, parquet_path: str |
     return q, csv_path, parquet_path
 
 
+ANSWERS, CSV, PARQUET = "answers", "csv", "parquet"
+
+
+def legs_handler(root: str, answers: dict[str, Answer] | None = None, jdbc_write=None):
+    """A ``foreachBatch`` function whose sinks are published together: the rows as CSV lines and Parquet, answers over
+    the batch, a table. Readers (``read_leg``) follow the one marker that is written last, so none sees a batch that
+    another sink doesn't have, and a batch that failed between two sinks is not there."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_csv_lines(batch, f"{root}/{CSV}/{VERSION}={int(batch_id)}")
+            write_version(batch, f"{root}/{PARQUET}", batch_id, commit=False)
+            for name, fn in (answers or {}).items():
+                write_version(fn(batch), f"{root}/{ANSWERS}/{name}", batch_id, commit=False)
+            if jdbc_write is not None:
+                jdbc_write(batch, batch_id)
+            publish(batch.sparkSession, root, batch_id)
+        finally:
+            batch.unpersist()
+    return handle
+
+
+def run_legs(rows: DataFrame, root: str | None = None, answers: dict[str, Answer] | None = None, jdbc_write=None,
+             checkpoint: str | None = None, trigger: str | None = "availableNow") -> tuple[StreamingQuery, str]:
+    spark = rows.sparkSession
+    root = (root or scratch_path(spark, "legs")).rstrip("/")
+    q = _start(rows, legs_handler(root, answers, jdbc_write), "append", checkpoint or scratch_path(spark, "ckpt-legs"), trigger, None)
+    return q, root
+
+
+def read_leg(spark: SparkSession, root: str, leg: str, schema=S.EDGE_SCHEMA) -> DataFrame:
+    """Rows of the published batches from one sink: ``csv``, ``parquet`` or ``answers/<name>`` (each batch's answer)."""
+    folders = published_folders(spark, root, leg)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return read_csv_lines(spark, folders, schema) if leg == CSV else spark.read.parquet(*folders)
+
+
 def run_console(df: DataFrame, mode: str = "append", truncate: bool = False,
                 trigger: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Print each micro-batch (``format("console")``), for inspection only."""

@@ -55,6 +55,11 @@ def test_text_scan_fails_on_bad_row(spark, tmpdir_path):
     bad = read_text_edges(spark, _write_lines(bad_dir, ["a\tb\tc\tzz"]))
     with pytest.raises(Exception):
         bad.collect()
+    for i, line in enumerate(["a\tb\tc\t 5 ", "a\tb\tc\t5 ", "a\tb\tc\t5.0", "a\tb\tc\t"]):
+        padded_dir = os.path.join(tmpdir_path, f"padded{i}")
+        os.makedirs(padded_dir)
+        with pytest.raises(Exception):
+            read_text_edges(spark, _write_lines(padded_dir, [line])).collect()
     short_dir = os.path.join(tmpdir_path, "short")
     os.makedirs(short_dir)
     with pytest.raises(Exception):

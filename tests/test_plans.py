@@ -53,6 +53,28 @@ def test_q5_one_pass_has_one_hash_shuffle(edges):
     assert sum(1 for line in p.splitlines() if re.match(r"\(\d+\) Scan parquet", line)) == 1
 
 
+def test_questions_one_pass_moves_edges_once(edges):
+    p = plan(Q.questions_one_pass(edges))
+    assert sum(1 for line in p.splitlines() if re.match(r"\(\d+\) Scan parquet", line)) == 1
+    assert [re.search(r"hashpartitioning\((\w+)#", x)[1] for x in p.splitlines() if "Arguments: hashpartitioning" in x] == ["question"] * 2
+    # the second moves what a limit inside each task leaves
+    tree = p[:p.index("\n\n")]
+    assert tree.index("WindowGroupLimit") < tree.rindex("WindowGroupLimit") < tree.rindex("Exchange")
+
+
+def test_shared_referers_never_gathers_a_hot_referrer(spark, edges):
+    p = plan(Q.shared_referers(edges))
+    windows = [line for line in p.splitlines() if line.startswith("Arguments: [row_number()")]
+    assert len(windows) == 2 and any("_nv_salt" in w for w in windows)
+    hot = spark.range(30000).selectExpr("'hot' prev", "concat('c', id % 9000) curr", "'link' type", "id % 500 n")
+    both = edges.unionByName(hot).unionByName(spark.createDataFrame([(None, "x", "y", 1), ("hot", None, None, None)], edges.schema))
+    row = Q.shared_referers(both, k=4).where("prev = 'hot'").first()
+    assert (row.in_rows, row.out_rows) == (30000, 30001) and [e.n for e in row.in_edges] == [499] * 4
+    assert [e.curr for e in row.out_edges] == sorted(f"c{i % 9000}" for i in range(30000) if i % 500 == 499)[:4]
+    into = Q.shared_referers(both, into="Deaths_in_2015", out="%", k=2)
+    assert into.count() == edges.where("curr LIKE 'Deaths_in_2015' AND prev IS NOT NULL").select("prev").distinct().count()
+
+
 def test_lag_never_partitions_by_user_alone(spark):
     from navedge.sources.events import load_clicks
     p = plan(load_clicks(spark, SF_SMALL))
