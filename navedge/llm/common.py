@@ -63,3 +63,11 @@ def slices(batches, size_of: str = "text"):
         for a, b in zip(starts, starts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+
+
+def sheltered(docs: DataFrame, work) -> DataFrame:
+    """``work(docs)`` with columns of ``docs`` that begin like this package's own (``_nv_``) renamed on the way."""
+    away = {c: f"kept{i}{c}" for i, c in enumerate(docs.columns) if c.lower().startswith("_nv_")}
+    if not away:
+        return work(docs)
+    return work(docs.withColumnsRenamed(away)).withColumnsRenamed({new: old for old, new in away.items()})

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from navedge.session import scratch_path
 
-from .common import BROADCAST_ROWS, broadcast_if_small, staged, write_scratch
+from .common import BROADCAST_ROWS, broadcast_if_small, sheltered, staged, write_scratch
 
 #: Members that compare themselves with one copy of the held text.
 SALT_ROWS = 256
@@ -162,6 +162,10 @@ def mismatches(docs: DataFrame, groups: DataFrame, digest, broadcast_rows: int =
 
 def keep_first(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    return sheltered(docs, lambda d: _keep_first(d, broadcast_rows))
+
+
+def _keep_first(docs: DataFrame, broadcast_rows: int) -> DataFrame:
     docs = located(docs)
     dropped = staged(_assign(docs, digest_of, broadcast_rows).where("NOT kept")
                      .select(F.col("file").alias("_nv_file"), F.col("row").alias("_nv_row")), "dedup-dropped")

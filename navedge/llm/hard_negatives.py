@@ -428,9 +428,11 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
     count = packed.count()
     if not count:
         return spark.createDataFrame([], schema)
-    group_trees = max(1, min(group_rows // tree_rows, count // (2 * default_parallelism(spark))))
-    place = F.row_number().over(Window.orderBy("no")) - 1  # of a number a tree
-    numbers = packed.select("no").withColumn("grp", F.floor(place / group_trees).cast("int"))
+    # Trees in order fill groups of about so many rows, however many tasks packed them.
+    share = max(tree_rows, min(group_rows - tree_rows, n // (2 * default_parallelism(spark))))
+    before = F.sum("n").over(Window.orderBy("no")) - F.col("n")  # of a number a tree
+    numbers = packed.select("no", F.floor(before / share).alias("at"))
+    numbers = numbers.select("no", (F.dense_rank().over(Window.orderBy("at")) - 1).cast("int").alias("grp"))
     trees = staged(packed.join(numbers, "no"), "negatives-groups")
     boxes = staged(trees.select("grp", "lo", "hi", "least", "greatest").groupBy("grp").applyInArrow(_box, _BOX), "negatives-boxes")
 

@@ -100,13 +100,16 @@ def parse(html: str) -> Page:
             if links:
                 linked += len(raw)
 
+    # Where the open elements of a name stand, so that closing one looks at names, never down the stack.
+    opened: dict[str, list[int]] = {}
+
     def close(names, stops=frozenset()):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in stops:
-                return
+        last = lambda wanted: max((opened[n][-1] for n in wanted if opened.get(n)), default=0)
+        at = last(names)
+        if at and at >= last(stops):
+            for name, _ in stack[at:]:
+                opened[name].pop()
+            del stack[at:]
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -126,7 +129,7 @@ def parse(html: str) -> Page:
                 links = max(0, links - 1)
         elif name in BLOCKS:
             flush()
-            if name == "html" or name == "body" and any(t == "body" for t, _ in stack):
+            if name == "html" or name == "body" and opened.get("body"):
                 continue
             if name not in IN_PARAGRAPH:
                 close(("p",), STOPS | {"td", "th", "li", "button"})
@@ -138,6 +141,7 @@ def parse(html: str) -> Page:
             page.label.append(label)
             page.text.append(None)
             if not m[4].endswith("/"):
+                opened.setdefault(name, []).append(len(stack))
                 stack.append((name, len(page.parent) - 1))
         elif name in BREAKS:
             flush()

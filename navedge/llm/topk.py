@@ -9,7 +9,8 @@ product (Cauchy-Schwarz).
 
 Each block of queries first meets the block of longest vectors; the k-th best
 score there is a floor. Then it meets every block, unless the block's greatest
-length shows that no score can reach a floor; inside a pair of blocks,
+length shows that no score can reach a floor: as lengths fall, those blocks are
+a prefix, found from bare numbers before any vector is sent; inside a pair of blocks,
 candidates and queries without a chance leave after a quarter and a half of
 the coordinates, and what is left gets exact integer scores. Bounds have a
 margin for rounding, so a candidate at the floor stays. Every pair of blocks
@@ -20,7 +21,8 @@ asks for; a block of queries is sent to each block of candidates, nothing is
 broadcast but one block of ``BLOCK`` vectors.
 
 Defined results: vectors that are null, or hold null, NaN or infinity, take no
-part; an empty vector has the score 0 with every other, and shorter vectors
+part, nor do those with a component beyond double when scaled; scores beyond
+the range of long count as its ends; an empty vector has the score 0 with every other, and shorter vectors
 count as filled up with zeros; a query never meets its own row, but meets
 other rows with its vec_id; rows with a null vec_id are candidates with the
 lowest preference in a tie and no queries; ties go to the smaller vec_id;
@@ -33,42 +35,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, read_table, staged
+from .vectors import NO_ID, scaled_rows, whole_scores
 
 BLOCK = 2048
 QUERIES = 1024
-SCALE = 256
-#: Stands for a null vec_id, after all others.
-_NO_ID = (1 << 63) - 1
-
-
-def integer_rows(column, width: int):
-    """(kept positions, integer matrix) of an Arrow list column; floor(SCALE * component)."""
-    import numpy as np
-
-    rows, kept = [], []
-    for i, v in enumerate(column.to_pylist()):
-        if v is None or any(x is None for x in v):
-            continue
-        x = np.floor(np.array(v, np.float64) * SCALE)
-        if np.isfinite(x).all():
-            kept.append(i)
-            rows.append(np.pad(x, (0, width - len(x))))
-    matrix = np.array(rows).reshape(len(rows), width)
-    if matrix.size and abs(matrix).max() >= 2.0 ** 62:
-        raise OverflowError("a scaled component leaves the range of long")
-    return kept, matrix.astype(np.int64)
-
-
-def exact_scores(q, x):
-    """Integer inner products; by floating point only where it is exact."""
-    import numpy as np
-
-    most = int(abs(q).max(initial=0)) * int(abs(x).max(initial=0)) * max(1, q.shape[1])
-    if most < 1 << 53:
-        return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    if most < 1 << 63:
-        return q @ x.T
-    return (q.astype(object) @ x.T.astype(object)).astype(np.int64)
 
 
 def best(scores, ids, query_rows, rows, k: int, floors=None):
@@ -93,12 +63,19 @@ def chances(q, x, floors, levels):
     import numpy as np
 
     qs, xs = np.arange(len(q)), np.arange(len(x))
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _chances(q, x, floors, levels, qs, xs)
+
+
+def _chances(q, x, floors, levels, qs, xs):
+    import numpy as np
+
     margin = 1e-9 * (np.linalg.norm(q, axis=1).max(initial=0) * np.linalg.norm(x, axis=1).max(initial=0) + 1) * q.shape[1] + 1e-6
     for m in levels:
         a, b = q[qs], x[xs]
         bound = a[:, :m] @ b[:, :m].T
         bound += np.linalg.norm(a[:, m:], axis=1)[:, None] * np.linalg.norm(b[:, m:], axis=1)[None, :]
-        may = bound + margin >= floors[qs][:, None]
+        may = ~(bound + margin < floors[qs][:, None])  # what leaves the range of double may
         qs, xs = qs[may.any(axis=1)], xs[may.any(axis=0)]
         if not len(qs) or not len(xs):
             break
@@ -112,8 +89,9 @@ def _outer_sums(width: int):
 
         total = np.zeros((width, width))
         for batch in batches:
-            _, x = integer_rows(batch.column("embedding"), width)
-            total += x.T.astype(np.float64) @ x.astype(np.float64)
+            _, x = scaled_rows(batch.column("embedding"), width)
+            with np.errstate(over="ignore", invalid="ignore"):
+                total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(range(width * width), pa.int64()), pa.array(total.ravel())], ["at", "value"])
 
     return run
@@ -128,6 +106,8 @@ def rotation(vectors: DataFrame, width: int):
     for at, value in sums.collect():  # width * width numbers
         total[at] = value
     total = total.reshape(width, width)
+    if not np.isfinite(total).all():
+        return np.eye(width)  # any rotation is right
     return np.linalg.eigh((total + total.T) / 2)[1][:, ::-1].copy()
 
 
@@ -137,9 +117,10 @@ def _norms(width: int):
         import pyarrow as pa
 
         for batch in batches:
-            kept, x = integer_rows(batch.column("embedding"), width)
+            kept, x = scaled_rows(batch.column("embedding"), width)
             ids = batch.column("vec_id").take(pa.array(kept, pa.int64()))
-            length = np.linalg.norm(x.astype(np.float64), axis=1)
+            with np.errstate(over="ignore"):
+                length = np.linalg.norm(x, axis=1)
             yield pa.RecordBatch.from_arrays([ids, pa.array(length), pa.array([r.tobytes() for r in x], pa.binary())], ["vec_id", "norm", "x"])
 
     return run
@@ -166,7 +147,7 @@ def _blocks(size: int, per_task: int = 1 << 20):
 
         for batch in batches:
             for vec_id, norm, x, row in zip(*(batch.column(n).to_pylist() for n in ("vec_id", "norm", "x", "row"))):
-                waiting.append((_NO_ID if vec_id is None else vec_id, norm, x, row))
+                waiting.append((NO_ID if vec_id is None else vec_id, norm, x, row))
                 if len(waiting) == size:
                     yield pack(waiting, first + made)
                     waiting, made = [], made + 1
@@ -179,7 +160,7 @@ def _blocks(size: int, per_task: int = 1 << 20):
 def _open(batch, prefix: str, i: int, width: int):
     import numpy as np
 
-    ids, rows, x = (np.frombuffer(batch.column(prefix + n)[i].as_buffer(), np.int64) for n in ("ids", "rows", "x"))
+    ids, rows, x = (np.frombuffer(batch.column(prefix + n)[i].as_buffer(), kind) for n, kind in (("ids", np.int64), ("rows", np.int64), ("x", np.float64)))
     return ids, rows, x.reshape(len(ids), width)
 
 
@@ -218,11 +199,11 @@ def search(vectors: DataFrame, k: int, every: int, block: int = BLOCK, queries:
             for i in range(batch.num_rows):
                 ids, rows, q = _open(batch, "", i, width)
                 c_ids, c_rows, c = _open(batch, "c_", i, width)
-                scores = exact_scores(q, c)
+                scores = whole_scores(q, c)
                 top = best(scores, c_ids, rows, c_rows, k)
                 floor = np.array([scores[j, t[-1]] if len(t) == k else -np.inf for j, t in enumerate(top)], np.float64)
-                norms = np.linalg.norm(q.astype(np.float64), axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
+                norms = np.linalg.norm(q, axis=1)
+                with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
                     need = np.where(floor <= 0, 0.0, np.where(norms > 0, floor / norms, 0.0))
                 floors.append(floor.tobytes())
                 needs.append(float(need.min()) * (1 - 1e-9))
@@ -231,11 +212,16 @@ def search(vectors: DataFrame, k: int, every: int, block: int = BLOCK, queries:
 
     floored = staged(asked.withColumn("one", F.lit(0)).join(F.broadcast(longest), "one").drop("one", "norm").mapInArrow(
         floor_pass, "q_no long, q_ids binary, q_rows binary, q_x binary, floor binary, need double"), "topk-floors")
-    # A block number stands for the block's place, without gaps.
-    places = blocks.select("no", "norm").withColumn("place", F.row_number().over(Window.orderBy(F.desc("norm"), "no")) - 1)  # a row a block
-    count = places.count()
-    pairs = floored.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(max(0, count - 1)))))
-    placed = blocks.join(F.broadcast(places.select("no", "place")), "no")
+    # A block number stands for the block's place by falling norm, without gaps. Blocks that can reach a floor of a block
+    # of queries are the first so many: counted over bare numbers, a row a block, before any vector is sent.
+    places = staged(blocks.select("no", "norm").withColumn("place", F.row_number().over(Window.orderBy(F.desc("norm"), "no")) - 1), "topk-places")
+    marks = places.select(F.col("norm").alias("v"), F.lit(0).alias("ask"), F.lit(None).cast("long").alias("q_no")).unionByName(
+        floored.select(F.col("need").alias("v"), F.lit(1).alias("ask"), "q_no"))
+    reach = F.sum(1 - F.col("ask")).over(Window.orderBy(F.desc("v"), "ask").rowsBetween(Window.unboundedPreceding, 0))
+    asks = marks.withColumn("reach", reach).where("ask = 1 AND reach > 0")
+    pairs = staged(asks.select("q_no", F.explode(F.sequence(F.lit(0), (F.col("reach") - 1).cast("int"))).alias("place")), "topk-pairs")
+    pairs = pairs.join(floored, "q_no")
+    placed = blocks.drop("norm").join(places.select("no", "place"), "no")
 
     def meet(batches):
         import numpy as np
@@ -249,16 +235,16 @@ def search(vectors: DataFrame, k: int, every: int, block: int = BLOCK, queries:
                 qs, xs = chances(q @ turn, x @ turn, floor, levels)
                 if not len(qs) or not len(xs):
                     continue
-                scores = exact_scores(q[qs], x[xs])
+                scores = whole_scores(q[qs], x[xs])
                 top = best(scores, ids[xs], q_rows[qs], rows[xs], k, floor[qs])
                 at = np.repeat(np.arange(len(qs)), [len(t) for t in top])
                 to = np.concatenate(top).astype(np.int64)
                 found = ids[xs][to]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_rows[qs][at]), pa.array(q_ids[qs][at]), pa.array(found, pa.int64(), mask=found == _NO_ID),
+                    [pa.array(q_rows[qs][at]), pa.array(q_ids[qs][at]), pa.array(found, pa.int64(), mask=found == NO_ID),
                      pa.array(rows[xs][to]), pa.array(scores[at, to])], ["row", "query_id", "vec_id", "vec_row", "score"])
 
-    met = pairs.join(placed, "place").where(F.col("norm") >= F.col("need")).select(
+    met = pairs.join(placed, "place").select(
         "ids", "rows", "x", "q_ids", "q_rows", "q_x", "floor").mapInArrow(meet, "row long, query_id long, vec_id long, vec_row long, score long")
     order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "vec_row")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

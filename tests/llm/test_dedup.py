@@ -64,3 +64,11 @@ def test_query_equals_sql(spark):
     duckdb.sql(f"CREATE OR REPLACE VIEW documents AS FROM '{SF}/documents.parquet'")
     got = X.op7_exact_dedup(spark, SF).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     assert collected(got) == sorted(duckdb.sql(X.SQL).fetchall(), key=repr)
+
+
+def test_columns_named_like_the_locator_stay(spark):
+    from navedge.llm import exact_dedup, simhash
+    d = spark.createDataFrame([(1, "a b c d", 7, "x"), (2, "ab cd", 8, "y"), (3, "other words here", 9, "z")], "doc_id long, text string, _nv_row long, _nv_file string")
+    for kept, want in ((exact_dedup.keep_first(d), [(1, 7, "x"), (3, 9, "z")]), (simhash.keep_one(d, 3, 3), [(1, 7, "x"), (2, 8, "y"), (3, 9, "z")])):
+        assert kept.columns == d.columns
+        assert sorted((r.doc_id, r._nv_row, r._nv_file) for r in kept.collect()) == want

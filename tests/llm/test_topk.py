@@ -44,8 +44,38 @@ def test_lengths_and_directions_prune(spark):
 
 
 def test_large_components_stay_exact():
-    q, x = np.array([[1 << 30, 3]]), np.array([[1 << 30, 1], [(1 << 30) - 1, 5]])
-    assert X.exact_scores(q, x).tolist() == [[(1 << 60) + 3, (1 << 60) - (1 << 30) + 15]]
+    q, x = np.array([[1 << 30, 3]], float), np.array([[1 << 30, 1], [(1 << 30) - 1, 5]], float)
+    assert X.whole_scores(q, x).tolist() == [[(1 << 60) + 3, (1 << 60) - (1 << 30) + 15]]
+
+
+def test_components_beyond_long(spark):
+    from navedge.llm.vectors import MOST
+    rows = [(0, [1e17, 1.0]), (50, [2.0 ** 31, 2.0 ** 31]), (3, [1.0, 0.5]), (4, [0.25, 7.0]), (5, [-1e300, 2.0]), (6, [1e308, 1e308]), (7, [1e150, 1e150]),
+            (100, [0.1, 0.2])]
+    kept = [r for r in rows if math.isfinite(256 * max(map(abs, r[1])))]
+    want = sorted(((a, rank, b, max(-MOST, min(MOST, s))) for a, rank, b, s in clamped(kept)), key=repr)
+    assert collected(X.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 50, block=2, queries=1)) == want
+
+
+def clamped(rows):
+    from navedge.llm.vectors import MOST
+    v = [(a, [math.floor(256 * x) for x in e]) for a, e in rows]
+    for a, e in v:
+        if a % 50 == 0:
+            best = sorted((-max(-MOST, min(MOST, sum(x * y for x, y in zip(e, f)))), b) for b, f in v if b != a)[:5]
+            yield from ((a, rank, b, -s) for rank, (s, b) in enumerate(best, 1))
+
+
+def test_short_vectors_are_not_sent(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(640, 4)) * np.repeat([64.0, 1.0], 320)[:, None] / 64
+    rows = [(i if i < 320 else i + 1000, [float(v) for v in r]) for i, r in enumerate(x)]
+    sent = {}
+    kept = X.staged
+    monkeypatch.setattr(X, "staged", lambda df, name, *a, **k: sent.setdefault(name, kept(df, name, *a, **k)))
+    rows = [(i + 1 if i % 50 == 0 and i > 300 else i, v) for i, v in rows]  # queries are long ones
+    got = collected(X.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 50, block=32, queries=8))
+    assert got == brute(rows, 5, 50) and sent["topk-pairs"].count() < sent["topk-blocks"].count() * sent["topk-queries"].count() * 0.75
 
 
 def test_few_or_no_rows(spark):
