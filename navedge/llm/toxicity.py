@@ -66,6 +66,8 @@ TARGETS = "you your yours u he him his she her they them their we us this these
 NEGATORS = "not no never neither nor without isn't aren't wasn't don't doesn't cannot can't nicht kein pas jamais nunca".split()
 REPORTS = "said says say called calls claimed claims wrote writes quoted quote reported reports according accused accuses".split()
 
+FRAMES = frozenset((*TARGETS, *NEGATORS, *REPORTS))
+
 _WORD = re.compile(r"[\w']+|[.!?;\n]+")
 _MARK = re.compile(r"[.!?;\n]")
 
@@ -161,7 +163,8 @@ def lexicon(learned: dict[str, float], spoken_against: set[str] = frozenset()) -
     for words, kind in ((THREATS, "threat"), (INSULTS, "insult")):
         out |= {w: (kind, PRIOR_WEIGHT) for w in words if w not in spoken_against}
     for w, weight in learned.items():
-        out[w] = ("threat" if w in THREATS else "insult", weight)
+        if w not in FRAMES:  # the grammar's own words keep their class
+            out[w] = ("threat" if w in THREATS else "insult", weight)
     return out
 
 
