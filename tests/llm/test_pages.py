@@ -187,3 +187,14 @@ def test_url_query_is_native(spark):
     out = U.op10_url_filter(spark, SF)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and out.columns == ["page_id", "host", "path", "rule", "verdict"] and out.count() == 50
+
+
+def test_deep_pages_take_linear_time():
+    import time
+    n = 16_000
+    t = time.perf_counter()
+    page = H.parse("<div>" * n + "<p>x" * n)
+    deep = H.parse("<p>" + "<button><div>" * n + "</p><li>y" * n)
+    assert time.perf_counter() - t < 4 and page.text.count("x") == n and deep.text.count("y") == n  # about 25 s each when walking the stack
+    assert H.parse("<ul><li>a<ul><li>b</ul><li>c</ul>d").parent == [-1, 0, 1, 2, 2, 4, 5, 1, 7, 0]
+    assert H.parse("<p>a<button><p>b</button>c").parent == [-1, 0, 1, 1, 3, 4, 1]

@@ -75,3 +75,14 @@ def test_private_keys_are_masked_whole():
 
 def test_query(spark):
     assert X.op5_secrets(spark, SF).count() == 200
+
+
+def test_query_equals_the_plain_expressions(spark):
+    table = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = X.op5_secrets(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(table) and any(r.n_assign for r in rows)
+    for r in rows:
+        spans = base(table[r.doc_id])
+        listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in spans)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[2] == k for s in spans) for k in ("assign", "access", "hex"))
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(filter(None, listed.split(","))) <= set(r.spans.split(","))

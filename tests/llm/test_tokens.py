@@ -150,7 +150,18 @@ def test_chunked_bpe_equals_the_library(spark):
     assert bpe_chunks.summaries(docs(spark, []), path, P.PATTERN).count() == 0
 
 
-def test_queries(spark):
-    assert token_store.op2_token_store(spark, SF).count() == bpe_chunks.op8_byte_bpe(spark, SF).count() == 200
-    table = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    check_packing(packing.op9_packing(spark, SF).collect(), [(r.doc_id, r.text) for r in table], library("word_bpe_49k.json"), 2048)
+def test_queries_equal_the_libraries(spark):
+    table = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    encode, at, want = library("byte_bpe_50k.json"), 0, []
+    for i, t in sorted(table):
+        ids = encode(t, 2)
+        want.append((i, at, len(ids), crc(ids)))
+        at += len(ids)
+    assert sorted(map(tuple, token_store.op2_token_store(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == want
+    encoding = bpe_chunks.Codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).encoding
+    want = [(i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+            for i, t in sorted(table) for ids in [encoding.encode_ordinary(t or "")]]
+    got = bpe_chunks.op8_byte_bpe(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, got)) == want
+    check_packing(packing.op9_packing(spark, SF).collect(), table, library("word_bpe_49k.json"), 2048)
