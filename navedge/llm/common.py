@@ -51,14 +51,28 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def slices(batches, size_of: str = "text"):
-    """The record batches in parts of about SLICE_BYTES of one column, one row at least: memory doesn't grow with a batch."""
+def give_back() -> None:
+    """Return memory that earlier work of this worker has freed: Spark uses a worker for one stage after another."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
+def slices(batches, size_of: str = "text", most: int = SLICE_BYTES):
+    """The record batches in parts of about ``most`` bytes of one column, one row at least: memory doesn't grow with a batch."""
     import numpy as np
     import pyarrow.compute as pc
 
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(size_of)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = np.cumsum(sizes) // SLICE_BYTES
+        part = np.cumsum(sizes) // most
         starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):
             if b > a:

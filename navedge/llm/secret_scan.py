@@ -28,7 +28,7 @@ from re import _parser as P
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, read_table, slices
+from .common import bound_batches, give_back, read_table, slices
 
 #: Alternatives of one literal run that a query spells out at most; beyond it the run ends.
 MAX_STRINGS = 64
@@ -275,6 +275,10 @@ def scan(docs: DataFrame, rules=RULES, base: int = len(BASE)) -> DataFrame:
         run, f"doc_id long, {columns}, base_sha256 string, spans string")
 
 
+#: Texts that redaction works on together: postings take many times their bytes, and other stages share the worker.
+REDACT_BYTES = 1 << 20
+
+
 def redact(docs: DataFrame, rules=RULES, mark: str = "[secret]") -> DataFrame:
     """All rows and columns of ``docs``; in ``text`` each run of overlapping spans becomes ``mark``.
 
@@ -286,8 +290,9 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[secret]") -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        give_back()
         prepared = prepare(rules)
-        for batch in slices(batches):
+        for batch in slices(batches, most=REDACT_BYTES):
             texts = batch.column(names.index("text")).to_pylist()
             found = find_spans([x or "" for x in texts], rules, prepared)
             texts = [_replaced(t, spans, mark) if spans else t for t, spans in zip(texts, found)]
@@ -298,6 +303,7 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[secret]") -> DataFrame:
                 sizes = [len(t) if s else o for t, s, o in zip(texts, found, old.to_pylist())]
                 columns[names.index("n_chars")] = pa.array(sizes, old.type)
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

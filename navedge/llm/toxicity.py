@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import bound_batches, read_table, sheltered, slices, staged
+from .common import bound_batches, give_back, read_table, sheltered, slices, staged
 
 #: Labelled documents that a fit reads at most.
 MAX_LABELLED = 20_000
@@ -349,10 +349,12 @@ def _with_score(docs: DataFrame, words: dict, coefficients: tuple) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        give_back()
         for batch in slices(batches):
             part = pa.RecordBatch.from_arrays([batch.column(names.index("text"))], ["text"])
             for scored in inner(iter([part])):
                 yield pa.RecordBatch.from_arrays([*batch.columns, scored.column("score")], [*names, "_nv_score"])
+        give_back()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_nv_score", DoubleType())]))
 
