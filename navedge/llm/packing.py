@@ -34,8 +34,8 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, read_table, slices, staged
-from .tokens import together, worker_encoder
+from .common import SLICE_BYTES, bound_batches, give_back, read_table, slices, staged
+from .tokens import TOGETHER_BYTES, together, worker_encoder
 
 CAPACITY = 2048
 
@@ -43,8 +43,11 @@ CAPACITY = 2048
 # --------------------------------------------------------------------- pieces
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, keeps_spaces: bool = False,
-           keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, task, number (among its length in the task)[, ids]."""
+           keep_ids: bool = False, work_bytes: int = TOGETHER_BYTES) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, task, number (among its length in the task)[, ids].
+
+    ``work_bytes``: texts that are encoded together; arrays of several times their size stand in memory.
+    """
 
     def run(batches):
         import zlib
@@ -55,7 +58,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, kee
 
         encode, task = worker_encoder(tokenizer_path, keeps_spaces), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for doc_ids, texts in together(slices(batches)):
+        if work_bytes < TOGETHER_BYTES:
+            give_back()
+        for doc_ids, texts in together(slices(batches, most=min(work_bytes, SLICE_BYTES)), work_bytes):
             ids, sizes = encode.column(texts, end_id)
             ends, rows = np.cumsum(sizes).tolist(), []
             for doc, begin, stop in zip(doc_ids.to_pylist(), [0, *ends], ends):
@@ -212,10 +217,10 @@ def placed(by_length, length: int, number: int) -> tuple[int, int]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = CAPACITY, keeps_spaces: bool = False,
-         keep_ids: bool = False) -> DataFrame:
+         keep_ids: bool = False, work_bytes: int = TOGETHER_BYTES) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]."""
     bound_batches(docs.sparkSession)
-    found = staged(pieces(docs, tokenizer_path, end_id, capacity, keeps_spaces, keep_ids), "pieces")
+    found = staged(pieces(docs, tokenizer_path, end_id, capacity, keeps_spaces, keep_ids, work_bytes), "pieces")
     by_task = staged(found.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     # At most ``capacity`` rows.
     histogram = {r.length: r.n for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
