@@ -8,7 +8,9 @@ probability mixes its count with the probability of the gram without its first
 symbol: p(c | s) = (n(sc) + MIX p(c | s')) / (n(s) + MIX), down to the uniform
 one. At each place of a url the longest gram that was seen at all gives the
 difference of the two log probabilities; their mean over the url's places is
-compared with the threshold that parts the examples best.
+compared with the threshold that parts the examples best. For the threshold,
+the shapes fall into two halves by their hash, and each half is scored by the
+model of the other one: an example's own counts never help it.
 
 Everything is DataFrame functions. Rules read host and path; the models read
 the whole url, query and fragment too. Urls are reduced to shapes (what follows
@@ -20,7 +22,7 @@ Defined results: a null url, or one without ``://``, has an empty host and
 path and fits no rule; the method judges all of the latter's text, and null as
 the empty shape; a null page_id stays null; repeated rows repeat; without examples of both verdicts
 every url that no rule decides is allowed; equal mean and threshold allow;
-equal thresholds resolve to the smallest; extra columns are not read.
+equally good thresholds resolve to the smallest; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -107,32 +109,40 @@ def means(shapes: DataFrame, grams: DataFrame) -> DataFrame:
     return by_place.groupBy(*keep).agg(F.round(F.sum("diff") / F.count(F.lit(1)), 9).alias("mean"))
 
 
+def held_out_means(shapes: DataFrame) -> DataFrame:
+    """``means`` of the examples' shapes, each under the model of the other half of the shapes: no example scores itself."""
+    examples = shapes.where("allow + block > 0").withColumn("half", F.pmod(F.xxhash64("shape"), F.lit(2)))
+    return reduce(DataFrame.unionByName, (means(examples.where(F.col("half") == half).drop("half"),
+                                                model(examples.where(F.col("half") != half).drop("half"))) for half in (0, 1)))
+
+
 def threshold(scored: DataFrame) -> float | None:
-    """The mean at or above which urls are accepted: the best sum of both shares of examples on their side."""
+    """The mean at or above which urls are accepted: the best sum of both shares of examples on their side, midway
+    between the bins of examples that it parts."""
     bins = scored.where("allow + block > 0").groupBy(F.floor(F.col("mean") / BIN).alias("bin")).agg(F.sum("allow").alias("a"), F.sum("block").alias("b"))
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # a row a bin; means span a few thousand bins
-    ranked = bins.select("bin", F.sum("a").over(Window.partitionBy()).alias("all_a"), F.sum("b").over(Window.partitionBy()).alias("all_b"),
+    in_order = Window.orderBy("bin")  # a row a bin; means span a few thousand bins
+    below = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = bins.select("bin", F.lag("bin").over(in_order).alias("before"),
+                         F.sum("a").over(Window.partitionBy()).alias("all_a"), F.sum("b").over(Window.partitionBy()).alias("all_b"),
                          F.coalesce(F.sum("a").over(below), F.lit(0)).alias("a_below"), F.coalesce(F.sum("b").over(below), F.lit(0)).alias("b_below"))
-    best = ranked.where("all_a > 0 AND all_b > 0").select(
-        "bin", (F.col("b_below") / F.col("all_b") - F.col("a_below") / F.col("all_a")).alias("gain")).orderBy(F.desc("gain"), "bin").first()
-    return None if best is None else best.bin * BIN
+    gain = F.round(F.col("b_below") / F.col("all_b") - F.col("a_below") / F.col("all_a"), 9)
+    best = ranked.where("all_a > 0 AND all_b > 0").select("bin", "before", gain.alias("gain")).orderBy(F.desc("gain"), "bin").first()
+    if best is None:
+        return None
+    return best.bin * BIN if best.before is None else (best.before + 1 + best.bin) / 2 * BIN
 
 
-def judge(pages: DataFrame, rules=RULES, whole: bool = False) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, mean (of the url's shape).
-
-    With ``whole`` the models read the whole url, as the query does; without, host and path only.
-    """
-    read = F.col("whole") if whole else F.concat("host", "path")
-    ruled = with_rule(pages, rules).withColumn("shape", shape(read))
+def judge(pages: DataFrame, rules=RULES) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict, mean (of the url's shape)."""
+    ruled = with_rule(pages, rules).withColumn("shape", shape(F.col("whole")))
     shapes = staged(ruled.groupBy("shape").agg(F.count_if(F.col("by_rule") == "allow").alias("allow"),
                                                F.count_if(F.col("by_rule") == "block").alias("block")), "url-shapes")
+    least = threshold(held_out_means(shapes))
     scored = staged(means(shapes, model(shapes)), "url-means")
-    least = threshold(scored)
     method = F.lit("allow") if least is None else F.when(F.col("mean") >= least, "allow").otherwise("block")
     return ruled.join(scored.select("shape", "mean"), "shape").select(
         "page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "mean")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read_table(spark, sf_dir, "pages"), whole=True).drop("mean")
+    return judge(read_table(spark, sf_dir, "pages")).drop("mean")

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 
 from navedge.llm import html_extract as H
 from navedge.llm import url_filter as U
@@ -82,8 +83,8 @@ def test_page_query(spark):
 
 # ------------------------------------------------------------------------ urls
 
-def plain_judge(urls):
-    """The url filter in plain Python: (host, path, rule, verdict)."""
+def plain_rules(urls):
+    """(host, path, rule, verdict of the rule) in plain Python."""
     ruled = []
     for u in urls:
         rest = u.split("://", 1)[1] if u and "://" in u else ""
@@ -92,54 +93,15 @@ def plain_judge(urls):
         host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
         fits = [(len(h + p), h + p, v) for h, p, v in U.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         ruled.append((host, path, *(max(fits)[1:] if fits else (None, None))))
-    shape = lambda h, p: re.sub(r"[^a-z0./_-]", "~", re.sub("[0-9]", "0", (h + p).lower()))
-    grams, contexts = ({"allow": Counter(), "block": Counter()} for _ in range(2))
-    places = lambda s: [s[max(0, i - U.ORDER):i] for i in range(2, len(s) + 1)]
-    for h, p, _, v in ruled:
-        if v:
-            for g in places(f"^{shape(h, p)}$"):
-                for k in range(len(g)):
-                    grams[v][g[k:]] += 1
-                    contexts[v][len(g) - k, g[k:-1]] += 1
-
-    def chance(v, g):
-        return (grams[v][g] + U.MIX * (chance(v, g[1:]) if len(g) > 1 else 1 / U.SYMBOLS)) / (contexts[v][len(g), g[:-1]] + U.MIX)
-
-    def mean(h, p):
-        total, s = 0.0, f"^{shape(h, p)}$"
-        for g in places(s):
-            seen = next((g[k:] for k in range(len(g)) if grams["allow"][g[k:]] + grams["block"][g[k:]]), None)
-            total += math.log(chance("allow", seen) / chance("block", seen)) if seen else 0.0
-        return round(total / (len(s) - 1), 9)
-
-    found = [(math.floor(mean(h, p) / U.BIN), v) for h, p, _, v in ruled if v]
-    n = Counter(v for _, v in found)
-    least = None
-    if n["allow"] and n["block"]:
-        gain = lambda b: sum((1 / n["block"] if v == "block" else -1 / n["allow"]) for x, v in found if x < b)
-        best = max(round(gain(b), 9) for b, _ in found)
-        least = min(b for b, _ in found if round(gain(b), 9) == best) * U.BIN
-    return [(h, p, r, v or ("allow" if least is None or mean(h, p) >= least else "block")) for h, p, r, v in ruled]
-
-
-def test_urls_equal_the_plain_form(spark):
-    urls = [r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
-    urls += [None, "", "no scheme", "http://", "http://NET", "https://a.net/x?y#z", "http://Example.NET/en/1", "http://example.net/en", "http://badexample.com/de/1",
-             "http://www.example.com/de/9", "ftp://x.org/fr/?q", "http://é.org/fr/a b", "x://y://z.net/1", "http://net/", "http://a.net/", "http://a.net/"]
-    rows = [(i if i % 9 else None, u) for i, u in enumerate(urls)]
-    got = U.judge(with_extra(spark, rows, "page_id long, url string").repartition(3)).select("page_id", "host", "path", "rule", "verdict").collect()
-    want = [(i, *w) for (i, _), w in zip(rows, plain_judge(urls))]
-    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    return ruled
 
 
-def plain_judge_whole(urls):
-    """The same with models that read the whole url."""
-    ruled = [(h, p, r, next((v for a, b, v in U.RULES if a + b == r), None)) for h, p, r, _ in plain_judge(urls)]
-    shapes = [re.sub(r"[^a-z0./_-]", "~", re.sub("[0-9]", "0", (u or "").split("://", 1)[-1].lower())) for u in urls]
+def plain_means(examples, asked):
+    """Mean difference of each asked shape under the two models of the examples, a list of (shape, verdict)."""
     counts = {"allow": Counter(), "block": Counter()}  # by (gram, its last symbol is the one that is told)
     places = lambda s: [s[max(0, i - U.ORDER):i] for i in range(2, len(s) + 1)]
-    for s, (*_, v) in zip(shapes, ruled):
-        for g in places(f"^{s}$") if v else []:
+    for s, v in examples:
+        for g in places(f"^{s}$"):
             for k in range(len(g)):
                 counts[v][g[k:], True] += 1
                 counts[v][g[k:-1], False] += 1
@@ -151,23 +113,46 @@ def plain_judge_whole(urls):
         found = [next((g[k:] for k in range(len(g)) if any(c[g[k:], True] for c in counts.values())), None) for g in places(f"^{s}$")]
         return round(sum(math.log(chance("allow", g) / chance("block", g)) if g else 0.0 for g in found) / len(found), 9)
 
-    means = {s: mean(s) for s in set(shapes)}
-    found = [(math.floor(means[s] / U.BIN), v) for s, (*_, v) in zip(shapes, ruled) if v]
-    n = Counter(v for _, v in found)
-    gain = {b: round(sum((1 / n["block"] if v == "block" else -1 / n["allow"]) for x, v in found if x < b), 9) for b, _ in found}
-    least = min(b for b in gain if gain[b] == max(gain.values())) * U.BIN
+    return {s: mean(s) for s in set(asked)}
+
+
+def plain_judge(urls):
+    """The url filter in plain Python: (host, path, rule, verdict)."""
+    ruled = plain_rules(urls)
+    shapes = [re.sub(r"[^a-z0./_-]", "~", re.sub("[0-9]", "0", (u or "").split("://", 1)[-1].lower())) for u in urls]
+    examples = [(s, v) for s, (*_, v) in zip(shapes, ruled) if v]
+    half = lambda s: xxhash.xxh64_intdigest(s.encode(), seed=42) % 2
+    found = []
+    for side in (0, 1):
+        held = [(s, v) for s, v in examples if half(s) == side]
+        means = plain_means([(s, v) for s, v in examples if half(s) != side], [s for s, _ in held])
+        found += [(math.floor(means[s] / U.BIN), v) for s, v in held]
+    n, bins = Counter(v for _, v in found), sorted({b for b, _ in found})
+    gain = {b: round(sum(x < b for x, v in found if v == "block") / n["block"] - sum(x < b for x, v in found if v == "allow") / n["allow"], 9) for b in bins}
+    at = min(i for i, b in enumerate(bins) if gain[b] == max(gain.values()))
+    least = (bins[at - 1] + 1 + bins[at]) / 2 * U.BIN if at else bins[0] * U.BIN
+    means = plain_means(examples, shapes)
     return [(h, p, r, v or ("allow" if means[s] >= least else "block")) for s, (h, p, r, v) in zip(shapes, ruled)]
 
 
-def test_models_read_the_whole_url(spark):
+def test_urls_equal_the_plain_form(spark):
     urls = [r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
-    urls += [None, "", "no scheme", "bad/gamble?x", "http://", "http://NET", "https://a.net/x?y#z", "http://Example.NET/en/1?q=%20Ä#", "a?u=http://b.org/fr/x?y", "http://a.net/", "http://a.net/"]
+    urls += [None, "", "no scheme", "bad/gamble?x", "http://", "http://NET", "https://a.net/x?y#z", "http://Example.NET/en/1?q=%20Ä#", "a?u=http://b.org/fr/x?y",
+             "http://example.net/en", "http://badexample.com/de/1", "http://www.example.com/de/9", "ftp://x.org/fr/?q", "http://é.org/fr/a b", "x://y://z.net/1",
+             "http://net/", "http://a.net/", "http://a.net/"]
     rows = [(i if i % 9 else None, u) for i, u in enumerate(urls)]
-    got = U.judge(with_extra(spark, rows, "page_id long, url string").repartition(3), whole=True).select("page_id", "host", "path", "rule", "verdict").collect()
-    want = [(i, *w) for (i, _), w in zip(rows, plain_judge_whole(urls))]
+    got = U.judge(with_extra(spark, rows, "page_id long, url string").repartition(3)).select("page_id", "host", "path", "rule", "verdict").collect()
+    want = [(i, *w) for (i, _), w in zip(rows, plain_judge(urls))]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_threshold_lies_between_examples(spark):
+    scored = spark.createDataFrame([("a", 0, 3, -0.5), ("b", 0, 1, -0.105), ("c", 2, 0, 0.305), ("d", 1, 0, 0.9), ("e", 0, 0, 0.0)],
+                                   "shape string, allow long, block long, mean double")
+    assert abs(U.threshold(scored) - 0.1) < 1e-9  # midway between the bins that end at -0.1 and begin at 0.3
+    assert U.threshold(scored.where("allow = 0")) is None
+
+
 def test_query_tells_urls_apart_by_more_than_host_and_path(spark, tmp_path):
     urls = [f"http://example.net/en/{x}?lang=en#top" for x in "abcdefgh"] + [f"http://shop{x}.net/en/{x}?casino=win&bet=zzz" for x in "abcdefgh"]
     urls += ["http://example.net/en/shop?casino=wi"]  # an accepted one that looks much like the others: the threshold is below it
