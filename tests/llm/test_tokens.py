@@ -118,6 +118,17 @@ def best_fit(histogram, capacity):
     return len(gaps)
 
 
+def test_plan_ends_at_the_least_number(monkeypatch):
+    tried, one = [], packing._plan
+    monkeypatch.setattr(packing, "_plan", lambda h, c, parts, even: tried.append(parts) or one(h, c, parts, even))
+    packing.plan({6: 5, 4: 5}, 10)
+    assert tried == [3]
+    packing.plan({6: 2}, 10)  # two sequences, not ceil(12 / 10), though ceil is two as well
+    packing.plan({6: 3}, 10)  # three, where the bound says two: every plan is tried
+    assert tried == [3, 3, 3, 3, 2, 2, 1, 0]
+    assert packing.plan({}, 10) == []
+
+
 def test_plan_uses_exact_complements():
     assert packing.plan({6: 5, 4: 5}, 10) == [(5, (6, 4))]
     assert sorted(packing.plan({7: 2, 2: 2, 1: 2}, 10)) == [(2, (7, 2, 1))]
