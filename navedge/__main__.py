@@ -82,9 +82,14 @@ def cmd_questions(args) -> int:
 def cmd_stream(args) -> int:
     from navedge.sources.messages import kafka_options, kafka_stream, text_stream
     from navedge.streaming import engine as X
+    from navedge.streaming import handover
     spark = _session()
+    if args.continues and args.route not in EDGE_STATE_ROUTES:
+        print(f"--continues is for the routes {', '.join(EDGE_STATE_ROUTES)}", file=sys.stderr)
+        return 2
     if args.source_dir:
-        raw = text_stream(spark, args.source_dir, args.max_files_per_trigger)
+        raw = (handover.remaining_text(spark, args.source_dir, args.continues, args.max_files_per_trigger, args.read_since) if args.continues
+               else text_stream(spark, args.source_dir, args.max_files_per_trigger))
         checkpoint = args.positional[0] if args.positional else None
     else:
         if len(args.positional) < 4:
@@ -92,7 +97,8 @@ def cmd_stream(args) -> int:
                   file=sys.stderr)
             return 2
         servers, kind, topics, checkpoint = args.positional[:4]
-        raw = kafka_stream(spark, kafka_options(servers, kind, topics, args.starting_offsets,
+        offsets = handover.starting_offsets(spark, args.continues) if args.continues else args.starting_offsets
+        raw = kafka_stream(spark, kafka_options(servers, kind, topics, offsets,
                                                 not args.allow_data_loss, args.max_offsets_per_trigger))
     if not checkpoint:
         print("a checkpoint location is required", file=sys.stderr)
@@ -107,12 +113,17 @@ def cmd_stream(args) -> int:
         print(f"--jdbc-url is for the routes {', '.join(JDBC_ROUTES)}", file=sys.stderr)
         return 2
     fmt, strict = ("tab", True) if args.message_format == "strict" else (args.message_format, False)
-    X.await_done(_start_route(args, raw, X.parse_messages(raw, fmt, strict=strict, escaped=args.escaped), checkpoint), args.timeout)
+    rows = X.parse_messages(raw, fmt, strict=strict, escaped=args.escaped)
+    if args.continues:
+        rows = handover.continued(rows, args.continues, checkpoint)
+    X.await_done(_start_route(args, raw, rows, checkpoint), args.timeout)
     return 0
 
 
 #: Routes with a relational table as a sink: rows appended, or one table an answer.
 JDBC_ROUTES = ("fanout", "legs", "complete")
+#: Routes whose state is the edge table.
+EDGE_STATE_ROUTES = ("changelog", "complete", "table", "state", "topic")
 
 
 def _start_route(args, raw, rows, checkpoint):
@@ -249,6 +260,10 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--width", default=S.DEFAULT_WINDOW[0])
     s.add_argument("--slide", default=S.DEFAULT_WINDOW[1])
     s.add_argument("--offset", default=S.DEFAULT_WINDOW[2])
+    s.add_argument("--continues", metavar="CHECKPOINT",
+                   help="checkpoint of a stopped query of these routes whose edge state this one takes over, in as many partitions as "
+                        "this session shuffles to; --out and the checkpoint must be new")
+    s.add_argument("--read-since", help="with --continues: files last changed before this time are known to be read")
     s.add_argument("--starting-offsets", default="earliest")
     s.add_argument("--allow-data-loss", action="store_true", help="go on when offsets were lost")
     s.add_argument("--max-offsets-per-trigger", type=int)

@@ -526,6 +526,30 @@ def stream_state_answers(spark, sf_dir):
     return Q.inflow_outflow(state_edges(spark, checkpoint))
 
 
+@register("stream_handover", ORACLE["q5_inflow_outflow"])
+def stream_handover(spark, sf_dir):
+    """A stream is stopped half way and continued by another one with four times the state partitions."""
+    from navedge.session import default_parallelism, scratch_path
+    from navedge.sources.messages import stage_messages, text_stream
+    from navedge.streaming import handover
+    from navedge.streaming.engine import await_done, edge_totals, parse_messages, run_state_only, state_edges
+    clicks = load_clicks(spark, sf_dir)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    both, old = scratch_path(spark, "messages-both"), scratch_path(spark, "ckpt-before")
+    stage_messages(clicks.where(~late), path=f"{both}/half=0")
+    await_done(run_state_only(edge_totals(parse_messages(text_stream(spark, both).select("value"), escaped=True)), old)[0])
+    stage_messages(clicks.where(late), path=f"{both}/half=1")
+    partitions, new = default_parallelism(spark), scratch_path(spark, "ckpt-after")
+    rows = parse_messages(handover.remaining_text(spark, both, old), escaped=True)
+    spark.conf.set("spark.sql.shuffle.partitions", str(4 * partitions))  # a query takes its settings when it starts
+    try:
+        q, _ = run_state_only(edge_totals(handover.continued(rows, old, new)), new)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    await_done(q)
+    return Q.inflow_outflow(state_edges(spark, new))
+
+
 @register("stream_table_replace", _EDGES_SQL)
 def stream_table_replace(spark, sf_dir):
     """Changed edges of each micro-batch replaced by key into a stored table."""

@@ -39,6 +39,11 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(location)] if fs.exists(location) else []
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, location = _hadoop(spark, path)
+    return fs.exists(location)
+
+
 def _mark(spark: SparkSession, path: str, kind: str, batch_id: int) -> None:
     fs, location = _hadoop(spark, f"{path.rstrip('/')}/{kind}/{int(batch_id)}")
     fs.create(location, True).close()

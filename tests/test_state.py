@@ -192,3 +192,50 @@ def test_messages_of_json_keep_their_counts(spark, tmpdir_path):
     q, ckpt = X.run_state_only(X.edge_totals(X.parse_messages(text_stream(spark, os.path.join(tmpdir_path, "j")), "json")))
     X.await_done(q)
     assert rows(X.state_edges(spark, ckpt)) == rows(clickstream(clicks).select(*S.EDGE_COLUMNS))
+
+
+def test_state_handed_over_to_more_partitions(spark, tmpdir_path):
+    """Stopped, continued at four times the partitions, stopped and continued again: the batch answer, nothing read twice."""
+    from navedge.streaming import handover
+    clicks = load_clicks(spark, SF_SMALL).cache()
+    at = lambda *p: os.path.join(tmpdir_path, *p)
+    checkpoints, parts = [at("k0"), at("k1"), at("k2")], ("event_id < 300", "event_id >= 300 AND event_id < 600", "event_id >= 600")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for i, part in enumerate(parts):
+            _source(clicks, at("a b"), part)
+            partitions = 2 * 4 ** i
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            for _ in range(2):  # the second start finds the seed and the checkpoint, and nothing to read
+                raw = text_stream(spark, at("a b"), 1) if i == 0 else handover.remaining_text(spark, at("a b"), checkpoints[i - 1], 1)
+                edges = X.parse_messages(raw, escaped=True)
+                if i:
+                    edges = handover.continued(edges, checkpoints[i - 1], checkpoints[i])
+                q, _ = X.run_state_only(X.edge_totals(edges), checkpoints[i])
+                X.await_done(q)
+                states = [p["stateOperators"][0]["numShufflePartitions"] for p in q.recentProgress if p["stateOperators"]]
+                assert set(states) <= {partitions}
+            want = clickstream(clicks.where(" OR ".join(f"({p})" for p in parts[:i + 1]))).select(*S.EDGE_COLUMNS)
+            assert rows(X.state_edges(spark, checkpoints[i])) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert handover.read_files(spark, checkpoints[0]).count() == 2
+    assert handover.last_committed(spark, at("none")) is None and handover.read_files(spark, at("none")).count() == 0
+    assert handover.starting_offsets(spark, at("none")) == "earliest"
+    assert handover.remaining_text(spark, at("a b"), checkpoints[0], since="2000-01-01 00:00:00").isStreaming
+    clicks.unpersist()
+
+
+def test_continues_on_the_command_line(spark, tmpdir_path, capsys):
+    from navedge.__main__ import main
+    clicks = load_clicks(spark, SF_SMALL)
+    at = lambda *p: os.path.join(tmpdir_path, *p)
+    common = ["--source-dir", at("src"), "--trigger", "availableNow", "--escaped"]
+    _source(clicks, at("src"), "event_id < 500")
+    assert main(["stream", at("k1"), "--out", at("log"), *common]) == 0
+    _source(clicks, at("src"), "event_id >= 500")
+    assert main(["stream", at("k2"), "--out", at("t"), "--route", "table", "--buckets", "4", "--continues", at("k1"), "--read-since", "2000-01-01", *common]) == 0
+    from navedge.sinks.table import read_table
+    assert rows(read_table(spark, at("t")).select(*S.EDGE_COLUMNS)) == rows(clickstream(clicks).select(*S.EDGE_COLUMNS))
+    assert main(["stream", at("k3"), "--out", at("x"), "--route", "append", "--continues", at("k1"), *common]) == 2
+    assert "--continues is for" in capsys.readouterr().err
