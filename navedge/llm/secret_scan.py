@@ -10,7 +10,8 @@ expression itself. A rule without mandatory trigrams scans every text.
 
 The three base rules come first; the further kinds in ``RULES`` only add
 spans. Matches of one kind never overlap; those of different kinds may. A
-``private`` span holds the whole key block, not only its BEGIN line.
+``private`` span holds the whole key block, not only its BEGIN line; prose is no
+part of it.
 
 Defined results: null counts as empty and has no span; a null doc_id stays
 null; repeated rows repeat; spans that start together come in the order of
@@ -53,13 +54,14 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", False, 0, 16),
     Rule("hex", r"[0-9a-f]+", False, 0, 32),
 )
-# A key block: the BEGIN line, header lines, and the body with its END line; if that is missing, long base64 runs and a last short one.
+# A key block: the BEGIN line, header lines, and the body (long base64 runs, then at most two short ones) with its END line; if that
+# is missing, the long runs and the last short ones. Prose between the two lines is no body: then the BEGIN line alone is the span.
 # Line ends may be spelled out as \n, as in JSON.
 _GAP = r"(?:[\x20\t\r\n]|\\[nr])"
 _PRIVATE = (
     r"-----BEGIN (?:(?:RSA |EC |OPENSSH |DSA |ENCRYPTED )?PRIVATE KEY|PGP PRIVATE KEY BLOCK)-----"
     rf"(?:{_GAP}*+(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+"
-    r"(?:(?:[A-Za-z0-9+/=\x20\t\r\n]++|\\[nr])*+-----END (?:[A-Z]+ )?PRIVATE KEY(?: BLOCK)?-----"
+    rf"(?:(?:(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})++(?:{_GAP}*+=?[A-Za-z0-9+/]{{1,15}}={{0,2}}){{0,2}})?{_GAP}*+-----END (?:[A-Z]+ )?PRIVATE KEY(?: BLOCK)?-----"
     rf"|(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})*+(?:[\x20\t\r]*+(?:\n|\\n){_GAP}*+=?[A-Za-z0-9+/]{{1,15}}={{0,2}}(?=[\x20\t]*+(?:[\r\n\"'\\]|\Z))){{0,2}})")
 # Public token formats.
 FURTHER = (

@@ -69,6 +69,10 @@ def test_private_keys_are_masked_whole():
         assert masked(f"see {begin}\n{body}\nThen, some text.") == "see [secret]\n\nThen, some text."  # END is missing
         assert masked(f"see {begin}\n{line}\nMIIEv") == masked(f"see {begin}\nMIIEv") == "see [secret]"
     assert masked("The -----BEGIN PRIVATE KEY----- line opens a key.") == "The [secret] line opens a key."
+    prose = " is how such files start and they end with -----END PRIVATE KEY----- as everyone knows"
+    assert masked(f"-----BEGIN PRIVATE KEY-----{prose}") == f"[secret]{prose}"
+    assert masked(f"-----BEGIN PRIVATE KEY-----\n{line}\nand so on{prose}") == f"[secret]\nand so on{prose}"
+    assert masked("-----BEGIN PRIVATE KEY-----\n-----END PRIVATE KEY----- is empty") == "[secret] is empty"
     assert masked("a -----BEGIN PUBLIC KEY-----\nabc") == "a -----BEGIN PUBLIC KEY-----\nabc"
     assert X.trigram_query(X.RULES[-1].pattern)
 
