@@ -11,11 +11,10 @@ each combination found is used as often as the counts allow, so it fills that
 many sequences to the last token. Pieces without an exact complement are then
 placed best-fit, longest first, again many alike at a time. The result is a
 list of patterns (lengths, and how many sequences look so), a few for each
-length. Six plans compete: sums up to three, two (each dealt evenly or not)
-and one, and plain best fit without complements. The one with the fewest
-sequences is used, so smaller sums or plain best fit stand in only where they
-save a sequence; of equal ones the first in that order wins, and one that
-reaches the total length divided by the capacity ends the search.
+length. Five plans compete: sums up to three, two (each dealt evenly or not)
+and one. The one with the fewest sequences is used, so smaller sums stand in
+only where they save a sequence; of equal ones the first in that order wins,
+and one that reaches the total length divided by the capacity ends the search.
 
 Each piece gets its number among the pieces of its length: encoding tasks
 count per length, and a running total over tasks gives each task its start,
@@ -136,11 +135,11 @@ class _Sums:
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
-    """(sequences, lengths in each) that use up the histogram: the best of complements of up to three, two,
-    one and no lengths, with even or uneven pairs, as filling early can leave the rest without small pieces.
+    """(sequences, lengths in each) that use up the histogram: the best of complements of up to three, two
+    and one length, with even or uneven pairs, as filling early can leave the rest without small pieces.
     The first plan that reaches the least possible number ends the search."""
     least, best, fewest = -(-sum(length * n for length, n in histogram.items()) // capacity), [], None
-    for parts, even in ((3, True), (3, False), (2, True), (2, False), (1, False), (0, False)):
+    for parts, even in ((3, True), (3, False), (2, True), (2, False), (1, False)):
         found = _plan(histogram, capacity, parts, even)
         n = sum(k for k, _ in found)
         if fewest is None or n < fewest:
@@ -167,7 +166,7 @@ def _plan(histogram: dict[int, int], capacity: int, parts: int, even: bool) -> l
     if counts[capacity]:
         use((capacity,))
     sums = _Sums(counts, even)
-    for length in range(capacity - 1, 0, -1) if parts else ():
+    for length in range(capacity - 1, 0, -1):
         gap = capacity - length
         while counts[length]:
             counts[length] -= 1
